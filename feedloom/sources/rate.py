@@ -1,0 +1,132 @@
+"""Series of counted rows at a given rate, for backfills and load tests.
+
+Spark makes the rows in its tasks from a range; nothing is built on the driver.
+"""
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedloom import fixed_values as fixed
+from feedloom.functions.series import round_half_up
+
+_UNIT_MICROS = {
+    "us": 1,
+    "ms": 1_000,
+    "s": 1_000_000,
+    "m": 60_000_000,
+    "min": 60_000_000,
+    "h": 3_600_000_000,
+    "d": 86_400_000_000,
+}
+
+
+def whole_seconds(duration: str | int) -> int:
+    """A duration such as ``5s`` in seconds, a smaller unit cut off. No unit means seconds."""
+    found = re.fullmatch(r"(-?\d+)([a-z]*)", str(duration).strip().lower(), re.ASCII)
+    unit = found and (found[2] or "s")
+    if unit not in _UNIT_MICROS:
+        raise ValueError(f"not a duration: {duration!r}")
+    micros = int(found[1]) * _UNIT_MICROS[unit]
+    return -(-micros // 1_000_000) if micros < 0 else micros // 1_000_000
+
+
+def _check_rate(rows_per_second: int, num_partitions: int | None) -> None:
+    if rows_per_second <= 0:
+        raise ValueError(f"rows_per_second must be positive: {rows_per_second}")
+    if num_partitions is not None and num_partitions <= 0:
+        raise ValueError(f"num_partitions must be positive: {num_partitions}")
+
+
+def _check_ramp(rows_per_second: int, ramp_up: str | int) -> int:
+    ramp_up_s = whole_seconds(ramp_up)
+    if ramp_up_s < 0:
+        raise ValueError(f"ramp_up must not be negative: {ramp_up!r}")
+    if ramp_up_s > fixed.LONG_MAX // rows_per_second:
+        raise OverflowError(f"a ramp of {ramp_up_s} s at {rows_per_second} rows/s is too long")
+    return ramp_up_s
+
+
+def rows_by_second(second: int, rows_per_second: int, ramp_up_s: int) -> int:
+    """``value_at_second`` for a bound of a range, which the driver has to know."""
+    in_ramp = min(second, ramp_up_s)
+    step = rows_per_second // (ramp_up_s + 1)
+    return step * (in_ramp * (in_ramp + 1) // 2) + (second - in_ramp) * rows_per_second
+
+
+def rate_rows(
+    spark: SparkSession,
+    start_s: int,
+    end_s: int,
+    start_time_ms: int,
+    rows_per_second: int = fixed.RATE_ROWS_PER_SECOND,
+    ramp_up: str | int = fixed.RATE_RAMP_UP,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """The rows from second ``start_s`` to ``end_s`` of a series that began at ``start_time_ms``.
+
+    Their times are spread evenly over the range asked for. So the values do not depend on how
+    a longer time is cut into ranges, but the times inside a ramp do.
+    """
+    _check_rate(rows_per_second, num_partitions)
+    ramp_up_s = _check_ramp(rows_per_second, ramp_up)
+    if not 0 <= start_s <= end_s:
+        raise ValueError(f"seconds are not in order: {start_s}, {end_s}")
+    if end_s > fixed.LONG_MAX // rows_per_second:
+        raise OverflowError(f"{end_s} s at {rows_per_second} rows/s is too long")
+    first = rows_by_second(start_s, rows_per_second, ramp_up_s)
+    last = rows_by_second(end_s, rows_per_second, ramp_up_s)
+    ms_per_row = float((end_s - start_s) * 1000) / float(last - first) if last > first else 0.0
+    since_first = (F.col("id") - F.lit(first).cast("bigint")).cast("double")
+    ms = round_half_up(since_first * F.lit(ms_per_row)) + (start_time_ms + start_s * 1000)
+    return spark.range(first, last, 1, num_partitions).select(
+        F.timestamp_millis(ms).alias("timestamp"), F.col("id").alias("value")
+    )
+
+
+def rate_rows_partitioned(
+    spark: SparkSession,
+    creation_ms: int,
+    now_ms: int,
+    rows_per_second: int = fixed.COUNTER_ROWS_PER_SECOND,
+    num_partitions: int = fixed.COUNTER_PARTITIONS,
+    from_ms: int | None = None,
+    tasks: int | None = None,
+) -> DataFrame:
+    """The rows that ``num_partitions`` counters emit until ``now_ms``.
+
+    Counter i emits i, i + n, i + 2n and so on, one row per step of ``1000 * n`` ms divided by
+    the rate, whole ms. All counters begin together, so the value alone gives the time. With
+    ``from_ms``, only the rows after a batch that ended then. ``tasks`` is the number of Spark
+    partitions, which need not be that of the counters.
+    """
+    _check_rate(rows_per_second, num_partitions)
+    step = 1000 * num_partitions // rows_per_second
+    if step == 0:
+        raise ValueError(f"more than {1000 * num_partitions} rows per second")
+    done = 0 if from_ms is None else max(0, (from_ms - creation_ms) // step)
+    due = max(done, (now_ms - creation_ms) // step)
+    round_no = F.call_function("div", F.col("id"), F.lit(num_partitions).cast("bigint"))
+    return spark.range(done * num_partitions, due * num_partitions, 1, tasks).select(
+        F.timestamp_millis(round_no * step + creation_ms).alias("timestamp"),
+        F.col("id").alias("value"),
+    )
+
+
+def rate_stream(
+    spark: SparkSession,
+    rows_per_second: int = fixed.RATE_ROWS_PER_SECOND,
+    ramp_up: str | int = fixed.RATE_RAMP_UP,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """The series as a stream in real time; Spark has it as a source."""
+    _check_rate(rows_per_second, num_partitions)
+    reader = (
+        spark.readStream.format("rate")
+        .option("rowsPerSecond", rows_per_second)
+        .option("rampUpTime", f"{_check_ramp(rows_per_second, ramp_up)}s")
+    )
+    if num_partitions is not None:
+        reader = reader.option("numPartitions", num_partitions)
+    return reader.load()
