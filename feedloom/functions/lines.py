@@ -1,7 +1,5 @@
 """Column functions over one chat line."""
 
-import unicodedata
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,8 +11,12 @@ _LINE_ENDS = "\n\r\u0085\u2028\u2029"  # what "." does not match
 # The fields are put on lines of their own: "." matches no line end, so no field holds one.
 # Either alternative takes the whole text, hence there are always seven fields, all of them
 # empty when the line is no edit. The first one only tells whether it is an edit: a number
-# always has a character.
-_FORWARD = rf"^(?s:.*?){EDIT_LINE_PATTERN}(?s:.*)|^(?s:.*)"
+# always has a character. Text without any " * (n) " is passed over at once.
+_FORWARD = (
+    r"^(?=(?s:.*)\s\*\s\(\+?.\d*\)\s)"
+    rf"(?s:.*?){EDIT_LINE_PATTERN}(?s:.*)"
+    r"|^(?s:.*)"
+)
 _FORWARD_FIELDS = "$5\n$1\n$2\n$3\n$4\n$5\n$6"
 
 # The same pattern for a reversed line. Greedy fields read from the left mean that the last
@@ -33,9 +35,8 @@ _BACKWARD = (
 )
 _BACKWARD_FIELDS = "$1\n$2\n$3\n$4\n$5\n$6\n$7"
 
-_DECIMALS = [c for c in map(chr, range(128, 0x10000)) if unicodedata.decimal(c, None) is not None]
-_DECIMALS_FROM = "".join(_DECIMALS)
-_DECIMALS_TO = "".join(str(unicodedata.decimal(c)) for c in _DECIMALS)
+_WHOLE_NUMBER = "^[+-]?[0-9]+$"
+_OTHER_DIGIT_FIRST = r"^\p{Nd}[0-9]*$"
 
 
 def _has_any(text: Column, characters: str) -> Column:
@@ -66,8 +67,15 @@ def delimited_fields(line: Column) -> Column:
 def byte_diff(number: Column) -> Column:
     """The number as an int; null when it is none or does not fit.
 
-    A plain cast would also take blanks around the number, and would not take decimal digits
-    outside ASCII.
+    A plain cast would take blanks around the number too. The first digit, the only character
+    the pattern leaves open, may be one of another script. In Unicode the digits of a script
+    start at a multiple of 16, and 6 after it in two ranges.
     """
-    digits = F.translate(number, _DECIMALS_FROM, _DECIMALS_TO)
-    return F.when(digits.rlike("^[+-]?[0-9]+$"), digits.try_cast("int"))
+    code = F.ascii(number)
+    late = code.between(0x0966, 0x0DEF) | code.between(0x1946, 0x194F)
+    digit = code % 16 - F.when(late, 6).otherwise(0)
+    translated = F.concat(digit.cast("string"), F.substr(number, F.lit(2)))
+    other = number.rlike(_OTHER_DIGIT_FIRST) & (code < 0x10000)
+    return F.when(number.rlike(_WHOLE_NUMBER), number.try_cast("int")).when(
+        other, translated.try_cast("int")
+    )

@@ -20,16 +20,20 @@ def value_at_second(second: Column, rows_per_second: int, ramp_up_s: int) -> Col
 
     The speed grows by the same step each second of the ramp, so the ramp adds up to
     ``step * r * (r + 1) / 2``. The even one of ``r`` and ``r + 1`` is halved before anything
-    is multiplied, so nothing overflows unless the result does.
+    is multiplied, so nothing overflows unless the result does. A rate that is too low for its
+    ramp has a step of 0.
     """
     second = second.cast("bigint")
     ramp = F.lit(ramp_up_s).cast("bigint")
-    step = F.lit(rows_per_second // (ramp_up_s + 1)).cast("bigint")
+    after = F.greatest(second - ramp, F.lit(0).cast("bigint"))
+    value = after * F.lit(rows_per_second).cast("bigint")
+    step = rows_per_second // (ramp_up_s + 1)
+    if ramp_up_s == 0 or step == 0:
+        return value
     in_ramp = F.least(second, ramp)
     odd = in_ramp % F.lit(2).cast("bigint")
     half = F.shiftright(in_ramp + odd, 1)
-    after = F.greatest(second - ramp, F.lit(0).cast("bigint"))
-    return half * step * (in_ramp + 1 - odd) + after * F.lit(rows_per_second).cast("bigint")
+    return half * (in_ramp + 1 - odd) * F.lit(step).cast("bigint") + value
 
 
 def round_half_up(x: Column) -> Column:

@@ -42,7 +42,8 @@ def with_ordinals(
 
     The rows are sorted with one range shuffle and written to the shared folder, each with
     its partition and its place in it. How many rows the partitions before it hold is then all
-    that is missing. The table of these counts has a row per partition, so it is small whatever
+    that is missing. The table of these counts has a row per partition of the shuffle, at most
+    ``partitions`` or, if not given, ``spark.sql.shuffle.partitions``. So it is small whatever
     the size of the log; it is what is broadcast and what the un-partitioned window runs over.
 
     The place of a row in the input is the last range key. Thereby a time with very many rows,
@@ -51,11 +52,11 @@ def with_ordinals(
     the same in a task that has to be run again.
     """
     spark = raw.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_folder(spark, "ordinals")
+    keys = [*order_cols, "_place"]
     sorted_rows = (
         raw.withColumn("_place", F.monotonically_increasing_id())
-        .repartitionByRange(partitions, *order_cols, "_place")
+        .repartitionByRange(*([partitions] if partitions else []), *keys)
         .sortWithinPartitions(*order_cols)
         .withColumn("_place", F.monotonically_increasing_id())
     )
