@@ -8,6 +8,7 @@ from feedloom.operators.edits import (
     edits_head,
     flag_code,
     for_channel,
+    judge_edits,
     parse_edits,
     rejected_edits,
 )
@@ -42,6 +43,7 @@ __all__ = [
     "flag_code",
     "for_channel",
     "for_each_batch",
+    "judge_edits",
     "latest_snapshot",
     "log_head",
     "open_table",

@@ -1,6 +1,6 @@
 """From raw lines to edits. Every operator takes a batch or a streaming frame."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.flags import flag_mask, flag_tests, highest_flag
@@ -25,43 +25,38 @@ def line_parts(raw: DataFrame) -> DataFrame:
     return text.select(*raw.columns, parts)
 
 
-def reject_reason() -> Column:
-    """Why a line of ``line_parts`` is no edit, null if it is one."""
+def judge_edits(raw: DataFrame) -> DataFrame:
+    """Every line with the texts found in it, and in ``reason`` why it is no edit, if it is none.
+
+    For those who want edits and rejects from one pass over the log.
+    """
     parts = F.col("parts")
-    return (
+    difference = byte_diff(parts[5])
+    reason = (
         F.when(F.coalesce(parts[0], F.lit("")) == "", "no_match")
-        .when(byte_diff(parts[5]).isNull(), "bad_byte_diff")
+        .when(difference.isNull(), "bad_byte_diff")
         .when(F.col("channel").isNull(), "null_field")
     )
+    return line_parts(raw).select(
+        *raw.columns,
+        parts[1].alias("title"),
+        parts[2].alias("flags"),
+        parts[3].alias("diffUrl"),
+        parts[4].alias("user"),
+        difference.alias("byteDiff"),
+        parts[6].alias("summary"),
+        reason.alias("reason"),
+    )
 
 
 def parse_edits(raw: DataFrame) -> DataFrame:
     """The edits among the lines, with the texts found in them."""
-    parts = F.col("parts")
-    rest = [c for c in raw.columns if c != "line"]
-    return (
-        line_parts(raw)
-        .where(reject_reason().isNull())
-        .select(
-            *rest,
-            parts[1].alias("title"),
-            parts[2].alias("flags"),
-            parts[3].alias("diffUrl"),
-            parts[4].alias("user"),
-            byte_diff(parts[5]).alias("byteDiff"),
-            parts[6].alias("summary"),
-        )
-    )
+    return judge_edits(raw).where(F.col("reason").isNull()).drop("line", "reason")
 
 
 def rejected_edits(raw: DataFrame) -> DataFrame:
-    """The lines that ``parse_edits`` leaves out, with the reason."""
-    return (
-        line_parts(raw)
-        .withColumn("reason", reject_reason())
-        .where(F.col("reason").isNotNull())
-        .select(*REJECTED_EDIT.names)
-    )
+    """The lines that are no edits, with the reason."""
+    return judge_edits(raw).where(F.col("reason").isNotNull()).select(*REJECTED_EDIT.names)
 
 
 def edit_flags(edits: DataFrame) -> DataFrame:

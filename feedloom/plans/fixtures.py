@@ -30,17 +30,22 @@ SELECT event_id AS ordinal, {ms} AS received_ms,
    ELSE concat(' ', event_type, ' edit') END) AS line
 FROM {src}
 """
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string"
+)
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 SPARK_MS = "unix_micros(CAST(ts AS TIMESTAMP)) div 1000"
 FIRST_STATUS_S = 1520726400
 
 
 def raw_edits(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Edit lines from the events, as a table or as a stream."""
-    path = f"{sf_dir}/events.parquet"
-    events = spark.read.parquet(path)
     if streaming:
-        stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+        stream = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
         events = stream.parquet(sf_dir)
+    else:
+        events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     return spark.sql(RAW_EDITS_SQL.format(ms=SPARK_MS, src="{events}"), events=events)
 
 
@@ -52,7 +57,7 @@ def coloured(raw: DataFrame) -> DataFrame:
 
 def raw_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON status per document, with the weekday as a constant, which is not read."""
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = spark.read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
     created = F.date_format(
         F.timestamp_seconds(F.col("doc_id") + FIRST_STATUS_S), "MMM dd HH:mm:ss Z yyyy"
     )

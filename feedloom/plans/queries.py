@@ -28,6 +28,7 @@ from feedloom.plans.fixtures import (
     raw_edits,
     raw_statuses,
 )
+from feedloom.schemas import EDIT_ROW
 from feedloom.session import new_folder
 from feedloom.sources.edits import read_edits, read_edits_stream
 from feedloom.sources.rate import rate_rows, rate_rows_partitioned
@@ -86,17 +87,10 @@ def irc_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _utc(edit_rows(parse_edits(coloured(raw_edits(spark, sf_dir)))))
 
 
-def edits_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql("SELECT count(*) AS n FROM {edits}", edits=edits(spark, sf_dir))
-
-
 def first_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = edits_head(parse_edits(raw_edits(spark, sf_dir)))
-    return _utc(head.select("ordinal", *edit_rows(head).columns[1:], _time(head)))
-
-
-def _time(edits: DataFrame):
-    return F.timestamp_millis("received_ms").alias("timestamp")
+    time = F.timestamp_millis("received_ms").alias("timestamp")
+    return _utc(head.select("ordinal", time, *EDIT_ROW.names[1:]))
 
 
 def head_of_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,15 +116,25 @@ def log_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_ordinals(raw_edits(spark, sf_dir).drop("ordinal"))
 
 
-def edits_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _fill_edits_table(spark: SparkSession, sf_dir: str) -> None:
+    """Streams a landed log into a table that SQL knows as ``edits``."""
     log = land_raw_edits(spark, sf_dir)
     out = new_folder(spark, "edits-stream")
     stream = read_edits_stream(spark, log, channel=None)
     run_available(append_table(stream, "edits", f"{out}/checkpoint", f"{out}/table"))
     open_table(spark, "edits", f"{out}/table")
+
+
+def edits_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _fill_edits_table(spark, sf_dir)
     return _utc(spark.sql("SELECT * FROM edits"))
 
 
+def edits_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _fill_edits_table(spark, sf_dir)
+    return spark.sql("SELECT count(*) AS n FROM edits")
+
+
 def edit_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "edit-events-stream")
 
