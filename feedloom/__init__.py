@@ -23,6 +23,7 @@ from feedloom.sources.edits import (
 from feedloom.sources.rate import rate_rows, rate_rows_partitioned, rate_stream
 from feedloom.sources.tweets import read_tweets
 from feedloom.streaming.sinks import (
+    append_numbered,
     append_table,
     for_each_batch,
     latest_snapshot,
@@ -34,6 +35,7 @@ from feedloom.streaming.sinks import (
 )
 
 __all__ = [
+    "append_numbered",
     "append_table",
     "backlog",
     "edit_events",

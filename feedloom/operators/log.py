@@ -37,14 +37,16 @@ def with_ordinals(
     order_cols: Sequence[str] = ("received_ms", "channel", "line"),
     first: int = 0,
     partitions: int | None = None,
+    work_path: str | None = None,
 ) -> DataFrame:
     """``raw`` with a gapless ``ordinal`` in the order of ``order_cols``, starting at ``first``.
 
-    The rows are sorted with one range shuffle and written to the shared folder, each with
-    its partition and its place in it. How many rows the partitions before it hold is then all
-    that is missing. The table of these counts has a row per partition of the shuffle, at most
-    ``partitions`` or, if not given, ``spark.sql.shuffle.partitions``. So it is small whatever
-    the size of the log; it is what is broadcast and what the un-partitioned window runs over.
+    The rows are sorted with one range shuffle and written, each with its partition and its
+    place in it, to ``work_path`` in place of what is there, or to a new part of the shared
+    folder. How many rows the partitions before it hold is then all that is missing. The table
+    of these counts has a row per partition of the shuffle, at most ``partitions`` or, if not
+    given, ``spark.sql.shuffle.partitions``. So it is small whatever the size of the log; it is
+    what is broadcast and what the un-partitioned window runs over.
 
     The place of a row in the input is the last range key. Thereby a time with very many rows,
     or a row with very many equal copies, is spread over partitions like any other part. The
@@ -52,7 +54,7 @@ def with_ordinals(
     the same in a task that has to be run again.
     """
     spark = raw.sparkSession
-    path = new_folder(spark, "ordinals")
+    path = work_path or new_folder(spark, "ordinals")
     keys = [*order_cols, "_place"]
     sorted_rows = (
         raw.withColumn("_place", F.monotonically_increasing_id())
@@ -60,7 +62,7 @@ def with_ordinals(
         .sortWithinPartitions(*order_cols)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    sorted_rows.write.parquet(path)
+    sorted_rows.write.mode("overwrite").parquet(path)
     placed = spark.read.schema(sorted_rows.schema).parquet(path)
     # monotonically_increasing_id: the partition above the lower 33 bits, the row in them
     partition = F.shiftright("_place", 33)

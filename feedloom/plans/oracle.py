@@ -49,6 +49,11 @@ _EVENTS = (
     '"user", byteDiff, summary, isMinor, isNew, isUnpatrolled, isBotEdit, isSpecial, isTalk, '
     "flag FROM flagged"
 )
+_ORDINALS = (
+    f"WITH raw AS ({_RAW}) "
+    "SELECT row_number() OVER (ORDER BY received_ms, channel, line) - 1 AS ordinal, "
+    "received_ms, channel, line FROM raw"
+)
 _TWEETS = f"""
 SELECT text, source AS "user", lang AS userLang,
  make_timestamp(({FIRST_STATUS_S} + doc_id) * 1000000) AS createdDate,
@@ -107,11 +112,8 @@ ORACLE: dict[str, str] = {
         f"WITH raw AS ({_RAW}), top AS (SELECT coalesce(max(ordinal), -1) AS head FROM raw) "
         "SELECT raw.* FROM raw, top WHERE ordinal > head // 2"
     ),
-    "log_ordinals": (
-        f"WITH raw AS ({_RAW}) "
-        "SELECT row_number() OVER (ORDER BY received_ms, channel, line) - 1 AS ordinal, "
-        "received_ms, channel, line FROM raw"
-    ),
+    "log_ordinals": _ORDINALS,
+    "log_ordinals_stream": _ORDINALS,
     "edits_stream": _EDITS,
     "edit_events_stream": _EVENTS,
     "received_count": f"{_CTES} SELECT channel, count(*) AS received FROM parsed GROUP BY channel",

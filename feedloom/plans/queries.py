@@ -34,6 +34,7 @@ from feedloom.sources.edits import read_edits, read_edits_stream
 from feedloom.sources.rate import rate_rows, rate_rows_partitioned
 from feedloom.sources.tweets import read_tweets
 from feedloom.streaming.sinks import (
+    append_numbered,
     append_table,
     for_each_batch,
     latest_snapshot,
@@ -116,6 +117,13 @@ def log_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_ordinals(raw_edits(spark, sf_dir).drop("ordinal"))
 
 
+def log_ordinals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_folder(spark, "log-ordinals-stream")
+    stream = raw_edits(spark, sf_dir, streaming=True).drop("ordinal")
+    run_available(append_numbered(stream, f"{out}/log", f"{out}/checkpoint", every=None))
+    return spark.read.parquet(f"{out}/log").drop("batch")
+
+
 def _fill_edits_table(spark: SparkSession, sf_dir: str) -> None:
     """Streams a landed log into a table that SQL knows as ``edits``."""
     log = land_raw_edits(spark, sf_dir)
@@ -216,6 +224,7 @@ QUERIES: dict[str, Query] = {
     "replay_range": replayed,
     "backlog": left_over,
     "log_ordinals": log_ordinals,
+    "log_ordinals_stream": log_ordinals_stream,
     "edits_stream": edits_stream,
     "edit_events_stream": edit_events_stream,
     "received_count": channel_counts,

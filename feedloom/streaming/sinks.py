@@ -1,12 +1,13 @@
 """Where streams go. ``every=None`` takes what is there, in as many batches as needed, and ends."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from feedloom.fixed_values import BATCH_INTERVAL
+from feedloom.operators.log import with_ordinals
 
 
 def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -74,20 +75,52 @@ def for_each_batch(
 def snapshots(
     sdf: DataFrame, path: str, checkpoint: str, every: str | None = BATCH_INTERVAL
 ) -> StreamingQuery:
-    """Writes the whole result of a streaming aggregation to ``path`` after each batch."""
+    """Writes the whole result of a streaming aggregation after each batch.
+
+    The last two results are kept, so that one can be read while the next is written.
+    """
 
     def write(result: DataFrame, batch_id: int) -> None:
-        result.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        numbered = result.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        numbered.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
     writer = sdf.writeStream.outputMode("complete").foreachBatch(write)
     return _trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The result written last. Only its folder is read."""
+    """The result written last."""
     written = spark.read.parquet(path)
     last = written.agg(F.max("batch")).first()[0]
-    return written.where(F.col("batch") == last).drop("batch")
+    return written.where(F.col("batch") == last).drop("batch", "slot")
+
+
+def append_numbered(
+    sdf: DataFrame,
+    path: str,
+    checkpoint: str,
+    order_cols: Sequence[str] = ("received_ms", "channel", "line"),
+    every: str | None = BATCH_INTERVAL,
+) -> StreamingQuery:
+    """Appends a stream of raw rows to a log and gives them ordinals without gaps.
+
+    Ordinals follow the order of the batches, and within a batch that of ``order_cols``. Next
+    to the rows of a batch stands the ordinal that comes after them, so the next batch has to
+    read one number only. A batch that comes again replaces what it wrote.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        first = 0
+        if batch_id > 0:
+            first = spark.read.parquet(f"{path}/_next/{batch_id - 1}").first()["next"]
+        rows = with_ordinals(batch, order_cols, first, work_path=f"{path}/_sorted")
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        after = rows.agg((F.count("*") + F.lit(first).cast("bigint")).alias("next"))
+        after.write.mode("overwrite").parquet(f"{path}/_next/{batch_id}")
+
+    writer = sdf.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, every).start()
 
 
 def run_available(query: StreamingQuery, timeout_s: float | None = None) -> None:

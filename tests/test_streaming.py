@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 
 from feedloom import (
+    append_numbered,
     append_table,
     edit_events,
     for_each_batch,
@@ -132,6 +133,40 @@ def test_counts_go_on_over_a_restart(spark, raw_small, log, tmp_path):
     assert received_total(counts).first()["received"] == 2 * parse_edits(raw_small).count()
 
 
+def test_log_is_numbered_batch_by_batch(spark, raw_small, log, tmp_path):
+    path, checkpoint = f"{tmp_path}/numbered", f"{tmp_path}/checkpoint"
+
+    def run():
+        raw = read_raw_edits(spark, log, None, streaming=True, max_files_per_trigger=1)
+        run_available(append_numbered(raw.drop("ordinal"), path, checkpoint, every=None))
+        return spark.read.parquet(path)
+
+    lines = rows(raw_small.drop("ordinal"))
+    numbered = run().orderBy("ordinal").collect()
+    assert [r["ordinal"] for r in numbered] == list(range(1000))
+    assert sorted(((*r[1:4],) for r in numbered), key=repr) == lines
+    in_order = [(r["batch"], r["received_ms"], r["channel"], r["line"]) for r in numbered]
+    assert in_order == sorted(in_order)
+    assert len({b for b, *_ in in_order}) == 4
+    add(raw_small.where("false"), log)
+    add(raw_small, log)
+    again = run().orderBy("ordinal").collect()
+    assert again[:1000] == numbered
+    assert [r["ordinal"] for r in again] == list(range(2000))
+
+
+def test_numbered_batch_that_comes_again(spark, raw_small, log, tmp_path):
+    """A crash after the rows are written and before the batch is committed."""
+    path = f"{tmp_path}/numbered"
+
+    def run(checkpoint):
+        raw = read_raw_edits(spark, log, None, streaming=True, max_files_per_trigger=1)
+        run_available(append_numbered(raw.drop("ordinal"), path, checkpoint, every=None))
+        return rows(spark.read.parquet(path))
+
+    assert run(f"{tmp_path}/a") == run(f"{tmp_path}/b")
+
+
 def test_console(spark, log):
     query = to_console(read_edits_stream(spark, log, channel=None), rows=3)
     run_available(query)
