@@ -51,7 +51,9 @@ def with_ordinals(
     The place of a row in the input is the last range key. Thereby a time with very many rows,
     or a row with very many equal copies, is spread over partitions like any other part. The
     input should be a scan, with filters and projections at most: the place of a row is then
-    the same in a task that has to be run again.
+    the same in a task that has to be run again. Spark gathers a sample of the keys on the
+    driver, of bounded number; for texts much longer than a chat line, lower
+    ``spark.sql.execution.rangeExchange.sampleSizePerPartition``.
     """
     spark = raw.sparkSession
     path = work_path or new_folder(spark, "ordinals")

@@ -75,7 +75,8 @@ _SPAN = f"raw AS ({_RAW}), span AS (SELECT count(*) AS n, min(received_ms) AS ms
 def _rate(start: int, rate: int, ramp: int) -> str:
     return f"""
 WITH {_SPAN},
-bounds AS (SELECT n, ms, {_curve(rate, ramp, str(start))} AS a, {_curve(rate, ramp, 'n')} AS b FROM span),
+bounds AS (
+ SELECT n, ms, {_curve(rate, ramp, str(start))} AS a, {_curve(rate, ramp, 'n')} AS b FROM span),
 steps AS (
  SELECT ms, a, CAST((n - {start}) * 1000 AS DOUBLE) / CAST(b - a AS DOUBLE) AS ms_per_row,
   unnest(range(a, b)) AS value

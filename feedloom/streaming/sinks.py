@@ -1,4 +1,8 @@
-"""Where streams go. ``every=None`` takes what is there, in as many batches as needed, and ends."""
+"""Where streams go.
+
+``every`` is the time from batch to batch; ``0 seconds`` starts the next one at once. With None
+a query takes what is there, in as many batches as needed, and ends.
+"""
 
 from collections.abc import Callable, Sequence
 
