@@ -3,28 +3,21 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.fixed_values import EDIT_LINE_PATTERN, IRC_FORMAT_PATTERN
+from feedloom.fixed_values import IRC_FORMAT_PATTERN
 
 _FORMAT_CODES = "\x02\x03\x0f\x11\x16\x1d\x1e\x1f"
 _LINE_ENDS = "\n\r\u0085\u2028\u2029"  # what "." does not match
 
-# The fields are put on lines of their own: "." matches no line end, so no field holds one.
-# Either alternative takes the whole text, hence there are always seven fields, all of them
-# empty when the line is no edit. The first one only tells whether it is an edit: a number
-# always has a character. Text without any " * (n) " is passed over at once.
-_FORWARD = (
-    r"^(?=(?s:.*)\s\*\s\(\+?.\d*\)\s)"
-    rf"(?s:.*?){EDIT_LINE_PATTERN}(?s:.*)"
-    r"|^(?s:.*)"
-)
-_FORWARD_FIELDS = "$5\n$1\n$2\n$3\n$4\n$5\n$6"
+# An edit line, see EDIT_LINE_PATTERN, has five greedy fields. Matched as it stands, the time
+# grows with the fourth power of the length when a long line almost matches. Two other forms
+# give the same fields. Both put them on lines of their own: "." matches no line end, so no
+# field holds one. Their second alternative takes any text, with all fields empty.
 
-# The same pattern for a reversed line. Greedy fields read from the left mean that the last
-# possible "* (n)" counts, before it the last "*", before that the last blank and the last
-# "]]", and then the first "[[". Read from the end, each of these is simply the next one,
-# and a later choice can never succeed where the next one failed. So no group has to give
-# anything back, and the time is linear in the length even for lines that do not match.
-# This holds for text without line ends. The last group, "[[", is set in a match only.
+# For text without line ends: the pattern of the reversed line. Greedy fields read from the
+# left mean that the last possible "* (n)" counts, before it the last "*", before that the last
+# blank and the last "]]", and then the first "[[". Read from the end, each of these is simply
+# the next one, and a later choice can never succeed where the next one failed. So no group has
+# to give anything back, and the time is linear. The last group is set in a match only.
 _BACKWARD = (
     r"^(?>(.*?)\s\)(\d*?.)\+?\(\s\*\s)"
     r"(?>(.*?)\s\*\s)"
@@ -35,6 +28,27 @@ _BACKWARD = (
 )
 _BACKWARD_FIELDS = "$1\n$2\n$3\n$4\n$5\n$6\n$7"
 
+# For any text: each separator may be a line end, so what comes next depends on the line one is
+# on. A field ends at its last separator from which the rest can be reached, which is looked up
+# before the field is closed for good. To reach the rest, the first separator on the line is as
+# good as any later one there, and the line end is the only other choice. The time is quadratic
+# at worst. The number, which always has a character, is set in a match only.
+_BLANK = r"[ \t\x0B\f]"
+_NUMBER_AHEAD = r".*\s\*\s\(\+?.\d*\)\s"
+_STAR_AHEAD = (
+    rf"(?:(?>.*?{_BLANK}\*{_BLANK})|(?>.*{_BLANK}\*[\n\r])|(?>.*[\n\r]\*\s)){_NUMBER_AHEAD}"
+)
+_FLAGS_AHEAD = rf"(?:(?>.*?{_BLANK})|(?>.*[\n\r])){_STAR_AHEAD}"
+_FORWARD = (
+    rf"^(?s:.*?)(?<=\A|[{_LINE_ENDS}])(?>.*?\[\[)"
+    rf"(?>(.*)\]\]\s(?={_FLAGS_AHEAD}))"
+    rf"(?>(.*)\s(?={_STAR_AHEAD}))"
+    rf"(?>(.*)\s\*\s(?={_NUMBER_AHEAD}))"
+    r"(.*)\s\*\s\(\+?(.\d*)\)\s(.*)(?s:.*)"
+    r"|^(?s:.*)"
+)
+_FORWARD_FIELDS = "$5\n$1\n$2\n$3\n$4\n$5\n$6"
+
 _WHOLE_NUMBER = "^[+-]?[0-9]+$"
 _OTHER_DIGIT_FIRST = r"^\p{Nd}[0-9]*$"
 

@@ -14,14 +14,15 @@ def for_channel(raw: DataFrame, channel: str | None) -> DataFrame:
 
 
 def line_parts(raw: DataFrame) -> DataFrame:
-    """``raw`` with an array ``parts``, see ``delimited_fields``.
+    """``raw`` with an array ``parts``, see ``delimited_fields``; null where a line is no edit.
 
     The array comes out of a generator because the optimizer would otherwise copy its
     expression into the filters above, and so match each line twice.
     """
     text = raw.withColumn("_plain", strip_irc_format(F.col("line")))
     text = text.withColumn("_fields", delimited_fields(F.col("_plain")))
-    parts = F.explode(F.array(F.split("_fields", "\n", -1))).alias("parts")
+    found = F.when(~F.startswith("_fields", F.lit("\n")), F.col("_fields"))
+    parts = F.explode(F.array(F.split(found, "\n", -1))).alias("parts")
     return text.select(*raw.columns, parts)
 
 
@@ -33,7 +34,7 @@ def judge_edits(raw: DataFrame) -> DataFrame:
     parts = F.col("parts")
     difference = byte_diff(parts[5])
     reason = (
-        F.when(F.coalesce(parts[0], F.lit("")) == "", "no_match")
+        F.when(F.col("parts").isNull(), "no_match")
         .when(difference.isNull(), "bad_byte_diff")
         .when(F.col("channel").isNull(), "null_field")
     )

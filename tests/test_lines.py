@@ -172,6 +172,33 @@ def test_time_is_linear_for_long_lines_that_do_not_match(spark):
     assert time.time() - started < 30
 
 
+def test_time_for_long_texts_with_line_ends(spark):
+    def texts(n):
+        return [
+            " * (1) [[a" + "]] b * c " * n + "\n",
+            "[[a" + "]] b * c " * n + "\n * (1) x",
+            "\n".join(["[[a" + "]] b * c " * 10] * (n // 10)) + " * (1) x\n",
+            "[[" * n + " ]] * (1) x\n",
+        ]
+
+    def matched(raw, test):
+        return [r["ordinal"] for r in raw.where(test).select("ordinal").collect()]
+
+    plain = F.col("line").rlike(EDIT_LINE_PATTERN)
+    assert matched(raw_of(spark, texts(10)), plain) == [2]
+    assert matched(judge_edits(raw_of(spark, texts(10))), "reason IS NULL") == [2]
+    started = time.time()
+    assert matched(judge_edits(raw_of(spark, texts(1000))), "reason IS NULL") == [2]
+    assert time.time() - started < 30
+
+
+def test_nothing_is_left_of_lines_that_do_not_match(spark):
+    lines = [" * * (+1) x", "\n * * (+1) x", "[[a]] b * (+1) x"]
+    for r in judge_edits(raw_of(spark, lines)).collect():
+        assert r["reason"] == "no_match"
+        assert (r["title"], r["flags"], r["diffUrl"], r["user"], r["summary"]) == (None,) * 5
+
+
 def test_long_text_is_kept_whole(spark):
     summary = "word " * 50000
     raw = raw_of(spark, [f"[[Foo]] M http://x * Bob * (1) {summary}"])
