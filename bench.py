@@ -1,7 +1,7 @@
 """Times all queries over the tables in BENCH_SF_DIR and prints one line of JSON.
 
-All queries run once to warm up, then once more for the record. A time goes from building
-the query to its last row; the rows themselves are thrown away.
+All queries run once to warm up, then twice more, of which the faster run counts. A time goes
+from building the query to its last row; the rows themselves are thrown away.
 """
 
 import json
@@ -36,12 +36,13 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    for query in queries().values():
-        run(spark, query, sf_dir)
-    seconds = {name: round(run(spark, query, sf_dir), 3) for name, query in queries().items()}
+    passes = [
+        {name: run(spark, query, sf_dir) for name, query in queries().items()} for _ in range(3)
+    ]
+    seconds = {name: round(min(p[name] for p in passes[1:]), 3) for name in queries()}
     spark.stop()
     report = {
-        "metric": "total of all queries, warm",
+        "metric": "total of all queries, warm, best of two",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
