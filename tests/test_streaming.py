@@ -1,5 +1,7 @@
 """Streams: the same rows as the tables, once each, over restarts."""
 
+import time
+
 import pytest
 from conftest import rows
 
@@ -58,6 +60,21 @@ def test_table_is_filled_once_over_restarts(spark, raw_small, log, tmp_path):
     assert n == len(again)
 
 
+def test_stop_in_the_middle(spark, log, tmp_path):
+    """One of four files is taken, then the query stops; the next one takes the other three."""
+    table, checkpoint = f"{tmp_path}/table", f"{tmp_path}/checkpoint"
+    stream = read_edits_stream(spark, log, channel=None, max_files_per_trigger=1)
+    query = append_table(stream, "part", checkpoint, table, every="1 hour")
+    ends = time.time() + 60
+    while query.lastProgress is None and time.time() < ends:
+        time.sleep(0.1)
+    query.stop()
+    whole = rows(read_edits(spark, log, channel=None))
+    assert 0 < open_table(spark, "part", table).count() < len(whole)
+    run_available(append_table(stream, "rest", checkpoint, table))
+    assert rows(open_table(spark, "rest", table)) == whole
+
+
 def test_one_channel(spark, log, tmp_path):
     stream = read_edits_stream(spark, log)
     run_available(append_table(stream, "english", f"{tmp_path}/c", f"{tmp_path}/t"))
