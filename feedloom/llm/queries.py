@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.common import table
 from feedloom.llm.exact_dedup import exact_dedup
+from feedloom.llm.language_id import language_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op5_language_id": op5_language_id,
     "op9_exact_dedup": op9_exact_dedup,
 }
