@@ -2,24 +2,45 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.common import table
 from feedloom.llm.exact_dedup import exact_dedup
 from feedloom.llm.language_id import language_id
+from feedloom.llm.mixing import mix_sources
+from feedloom.llm.packing import pack
+from feedloom.llm.simhash_dedup import simhash_dedup
 
+#: Where the vocabulary file lies on every machine.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES: dict[str, Query] = {
+    "op2_mix_sources": op2_mix_sources,
     "op5_language_id": op5_language_id,
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_packing": op10_packing,
 }
