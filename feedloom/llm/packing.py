@@ -24,11 +24,15 @@ from feedloom.llm.common import portions, stored, texts_of
 SEQUENCE = 2048
 #: Lengths are rounded up to classes of this width for the linear program.
 WIDTH = 8
+#: How far from the least number of sequences the program may stop.
+GAP = 0.002
 #: Closes each document.
 END_ID = 1
 #: Pieces of one length class that are ranked by one task, about.
 RANKED = 50_000
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 500_000
+#: Fixed value: ASCII marks, neither letters nor digits.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def token_pieces(
@@ -37,8 +41,8 @@ def token_pieces(
     """The pieces of every document: full sequences and a remainder.
 
     ``tokenizer`` is the path of the file on every machine. No token of it crosses ASCII white
-    space, so that words are looked up and each new one is tokenized once in a task; a task
-    forgets its words when they are too many. A null text is empty and has the closing id only.
+    space, so that words are looked up and each new one is tokenized once in a task; a task forgets its
+    words when they are too many. A null text is empty and has the closing id only.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -53,21 +57,17 @@ def token_pieces(
         from tokenizers import Tokenizer
 
         encoder = Tokenizer.from_file(tokenizer)
+        closing = _closing(encoder)
         known: dict[bytes, bytes] = {}
+        stems: dict[str, bytes] = {}
         for batch in batches:
             for part in portions(batch, "text"):
-                split = [_words(t) for t in texts_of(part.column("text"))]
-                new = list(set().union(*split).difference(known))
+                split = [t.split() for t in texts_of(part.column("text"))]
+                new = set().union(*split).difference(known)
                 if len(known) + len(new) > _CACHED_WORDS:
-                    known = {}
-                    new = list(set().union(*split))
-                decoded = [w.decode() for w in new]
-                for at in range(0, len(new), 10_000):
-                    found = encoder.encode_batch_fast(
-                        decoded[at : at + 10_000], add_special_tokens=False
-                    )
-                    for word, encoding in zip(new[at : at + 10_000], found, strict=True):
-                        known[word] = np.array(encoding.ids, "<u4").tobytes()
+                    known, stems = {}, {}
+                    new = set().union(*split)
+                known |= _word_ids(encoder, closing, new, stems)
                 of_row, start, length, crc, total = [], [], [], [], []
                 for i, words in enumerate(split):
                     ids = b"".join([*map(known.__getitem__, words), end])
@@ -94,22 +94,67 @@ def token_pieces(
     return rows.mapInArrow(cut, schema)
 
 
-def _words(text: bytes) -> list[bytes]:
-    # the tokenizer lower-cases, but not its special tokens
-    return (text.lower() if text.isascii() and b"<|" not in text else text).split()
+def _ids(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
+def _closing(encoder) -> np.ndarray:
+    """Which ids end a run of letters."""
+    found = np.zeros(encoder.get_vocab_size(), np.bool_)
+    found[[i for token, i in encoder.get_vocab().items() if token.endswith("</w>")]] = True
+    return found
+
+
+def _word_ids(
+    encoder, closing: np.ndarray, words: set[bytes], stems: dict[str, bytes]
+) -> dict[bytes, bytes]:
+    """The ids of each word, as bytes.
+
+    Most words are a run of letters with some marks after it, which the tokenizer takes apart
+    too. Such a stem, in lower case as the tokenizer has it, is looked up in ``stems``, and the
+    new ones are tokenized many in one text. Words with letters from U+0250 on, or with anything
+    else in them, are given to the tokenizer as they are.
+    """
+    parts, others = [], []
+    for word in words:
+        text = word.decode()
+        stem = text.rstrip(_MARKS)
+        if stem.isalpha() and max(stem) < "\u0250" and "\u0130" not in stem:
+            parts.append((word, stem.lower(), text[len(stem) :]))
+        else:
+            others.append(word)
+    new = list({stem for _, stem, _ in parts}.difference(stems))
+    lines = [" ".join(new[at : at + 256]) for at in range(0, len(new), 256)]
+    at = 0
+    for encoding in encoder.encode_batch_fast(lines, add_special_tokens=False):
+        ids = _ids(encoding.ids)
+        ends = (np.flatnonzero(closing[encoding.ids]) + 1) * 4
+        for end, begin in zip(ends.tolist(), [0, *ends[:-1].tolist()], strict=True):
+            stems[new[at]] = ids[begin:end]
+            at += 1
+    marks = {tail: b"" for _, _, tail in parts}
+    rest = [*(t for t in marks if t), *(w.decode() for w in others)]
+    found = [_ids(e.ids) for e in encoder.encode_batch_fast(rest, add_special_tokens=False)]
+    named = len(rest) - len(others)
+    marks |= zip(rest[:named], found[:named], strict=True)
+    ids_of = dict(zip(others, found[named:], strict=True))
+    return ids_of | {word: stems[stem] + marks[tail] for word, stem, tail in parts}
 
 
 def best_pattern(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """The most valuable multiset of items that fits into ``capacity``: its value and counts."""
+    # sizes ascend: those that fit are a prefix
     best = np.zeros(capacity + 1)
     item = np.full(capacity + 1, -1)
+    fitting = np.searchsorted(sizes, np.arange(capacity + 1), side="right").tolist()
     for c in range(1, capacity + 1):
-        fits = sizes <= c
-        options = np.where(fits, best[np.where(fits, c - sizes, 0)] + values, -1.0)
-        top = int(options.argmax())
         best[c] = best[c - 1]
-        if options[top] > best[c] + 1e-12:
-            best[c], item[c] = options[top], top
+        n = fitting[c]
+        if n:
+            options = best[c - sizes[:n]] + values[:n]
+            top = int(options.argmax())
+            if options[top] > best[c] + 1e-12:
+                best[c], item[c] = options[top], top
     counts = np.zeros(len(sizes), np.int64)
     c = capacity
     while c > 0:
@@ -127,16 +172,17 @@ def column_generation(
     """Patterns (one a column) and how often to use each, fractional, for the least sequences.
 
     Revised simplex from the patterns of one size each. A column enters while the knapsack finds
-    one worth more than a sequence. After a number of rounds in proportion to the sizes what has
-    been reached is used; it fills the demand like the optimum, with somewhat more sequences.
+    one worth more than a sequence by over ``GAP``: then the least number of sequences is below
+    the one reached by that share at most. Rounds are limited in proportion to the sizes; what
+    has been reached then fills the demand too, with somewhat more sequences.
     """
     m = len(sizes)
     basis = np.diag(capacity // sizes).astype(np.float64)
     inverse = np.diag(1.0 / (capacity // sizes))
-    for turn in range(1, 12 * m):
+    for _ in range(12 * m):
         use = inverse @ demand
         value, pattern = best_pattern(inverse.sum(axis=0), sizes, capacity)
-        if value <= 1 + 1e-6:
+        if value <= 1 + GAP:
             break
         along = inverse @ pattern
         ratios = np.where(along > 1e-9, np.maximum(use, 0) / np.where(along > 1e-9, along, 1), np.inf)
@@ -144,13 +190,10 @@ def column_generation(
         if not np.isfinite(ratios[out]):
             break
         basis[:, out] = pattern
-        if turn % 100:
-            row = inverse[out] / along[out]
-            inverse -= np.outer(along, row)
-            inverse[out] = row
-        else:
-            inverse = np.linalg.inv(basis)
-    return basis.astype(np.int64), np.maximum(np.linalg.solve(basis, demand), 0)
+        row = inverse[out] / along[out]
+        inverse -= np.outer(along, row)
+        inverse[out] = row
+    return basis.astype(np.int64), np.maximum(inverse @ demand, 0)
 
 
 def packing_plan(
