@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import portions, stored, texts_of
+from feedloom.llm.common import ascii_lower, portions, stored, texts_of
 
 #: A digest with more than 2 in so many of all rows is sure to be found frequent.
 COUNTERS = 1023
@@ -110,3 +110,24 @@ def exact_dedup(
         (F.col("row") == F.col("winner.row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def distinct_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS
+) -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with the columns they came with.
+
+    Rows are found again by id and digest. Of rows that have both in common, one stays.
+    """
+    stay = exact_dedup(docs, id_col, text_col, counters).where("kept")
+    # a null within a struct equals another one
+    stay = stay.select(F.struct("doc_id").alias("id"), F.col("text_sha256").alias("digest"))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.struct(F.col(id_col).alias("doc_id")).alias("id"),
+        F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256).alias("digest"),
+    )
+    # rows of one id and digest are equal but for other columns
+    rank = F.row_number().over(Window.partitionBy("id", "digest").orderBy(F.xxhash64("row")))
+    rows = rows.join(stay, ["id", "digest"], "left_semi").withColumn("rank", rank)
+    return rows.where("rank = 1").select("row.*")
