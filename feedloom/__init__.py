@@ -1,11 +1,13 @@
 """Edit and status feeds as Spark tables and streams."""
 
 from feedloom.operators.counts import received_count, received_total
+from feedloom.operators.due import due_times, due_times_stepped
 from feedloom.operators.edits import (
     edit_events,
     edit_flags,
     edit_rows,
     edits_head,
+    first_edits,
     flag_code,
     for_channel,
     judge_edits,
@@ -13,20 +15,21 @@ from feedloom.operators.edits import (
     rejected_edits,
 )
 from feedloom.operators.log import backlog, log_head, replay_range, with_ordinals
-from feedloom.operators.tweets import tweet_rows
+from feedloom.operators.tweets import judge_statuses, rejected_statuses, tweet_rows
+from feedloom.session import clear_folders
 from feedloom.sources.edits import (
     read_edit_events,
     read_edits,
     read_edits_stream,
     read_raw_edits,
 )
-from feedloom.sources.rate import rate_rows, rate_rows_partitioned, rate_stream
-from feedloom.sources.tweets import read_tweets
+from feedloom.sources.tweets import read_raw_statuses, read_tweets
 from feedloom.streaming.sinks import (
     append_numbered,
     append_table,
     for_each_batch,
     latest_snapshot,
+    memory_table,
     open_table,
     run_available,
     snapshots,
@@ -38,29 +41,34 @@ __all__ = [
     "append_numbered",
     "append_table",
     "backlog",
+    "clear_folders",
+    "due_times",
+    "due_times_stepped",
     "edit_events",
     "edit_flags",
     "edit_rows",
     "edits_head",
+    "first_edits",
     "flag_code",
     "for_channel",
     "for_each_batch",
     "judge_edits",
+    "judge_statuses",
     "latest_snapshot",
     "log_head",
+    "memory_table",
     "open_table",
     "parse_edits",
-    "rate_rows",
-    "rate_rows_partitioned",
-    "rate_stream",
     "read_edit_events",
     "read_edits",
     "read_edits_stream",
     "read_raw_edits",
+    "read_raw_statuses",
     "read_tweets",
     "received_count",
     "received_total",
     "rejected_edits",
+    "rejected_statuses",
     "replay_range",
     "run_available",
     "snapshots",

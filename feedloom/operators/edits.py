@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.flags import flag_mask, flag_tests, highest_flag
 from feedloom.functions.lines import byte_diff, delimited_fields, strip_irc_format
+from feedloom.operators.log import log_head, replay_range
 from feedloom.schemas import EDIT_EVENT, REJECTED_EDIT
 
 
@@ -32,22 +33,23 @@ def judge_edits(raw: DataFrame) -> DataFrame:
     For those who want edits and rejects from one pass over the log.
     """
     parts = F.col("parts")
-    difference = byte_diff(parts[5])
-    reason = (
-        F.when(F.col("parts").isNull(), "no_match")
-        .when(difference.isNull(), "bad_byte_diff")
-        .when(F.col("channel").isNull(), "null_field")
-    )
-    return line_parts(raw).select(
-        *raw.columns,
+    # a generator again, so that the number is read once, not in the filter and above it
+    found = F.struct(
+        parts.isNull().alias("_unmatched"),
         parts[1].alias("title"),
         parts[2].alias("flags"),
         parts[3].alias("diffUrl"),
         parts[4].alias("user"),
-        difference.alias("byteDiff"),
+        byte_diff(parts[5]).alias("byteDiff"),
         parts[6].alias("summary"),
-        reason.alias("reason"),
     )
+    reason = (
+        F.when(F.col("_unmatched"), "no_match")
+        .when(F.col("byteDiff").isNull(), "bad_byte_diff")
+        .when(F.col("channel").isNull(), "null_field")
+    )
+    judged = line_parts(raw).select(*raw.columns, F.inline(F.array(found)))
+    return judged.withColumn("reason", reason).drop("_unmatched")
 
 
 def parse_edits(raw: DataFrame) -> DataFrame:
@@ -92,3 +94,19 @@ def edit_events(edits: DataFrame) -> DataFrame:
 def edits_head(edits: DataFrame, n: int = 20, ordinal: str = "ordinal") -> DataFrame:
     """The ``n`` first edits; each task keeps at most ``n`` rows."""
     return edits.orderBy(ordinal).limit(n)
+
+
+def first_edits(raw: DataFrame, n: int = 20, ordinal: str = "ordinal") -> DataFrame:
+    """The ``n`` first edits of a log, without a parse of all of it.
+
+    Ranges of ordinals from the start on are read, each eight times as long as the one before,
+    until there are ``n`` edits or the log ends. A range reaches the scan, which skips row
+    groups beyond it. Lines without an ordinal are not among the first.
+    """
+    head = log_head(raw, ordinal).first()["head"]
+    end = 8 * n
+    while True:
+        found = edits_head(parse_edits(replay_range(raw, None, min(end, head), ordinal)), n, ordinal)
+        if end >= head or found.count() == n:
+            return found
+        end *= 8

@@ -13,13 +13,13 @@ def replay_range(
 ) -> DataFrame:
     """Rows after ``start`` up to and including ``end``; an end left out is open.
 
-    Both bounds are literals, so they reach the scan and row groups outside are skipped.
+    Without bounds that is the whole log, with rows that have no ordinal too. Both bounds are literals, so they reach the scan and row groups outside are skipped.
     """
-    start = -1 if start is None else start
-    if end is not None and start > end:
+    if start is not None and end is not None and start > end:
         raise ValueError(f"start {start} is after end {end}")
-    rows = log.where(F.col(ordinal) > start)
-    return rows if end is None else rows.where(F.col(ordinal) <= end)
+    if start is not None:
+        log = log.where(F.col(ordinal) > start)
+    return log if end is None else log.where(F.col(ordinal) <= end)
 
 
 def backlog(log: DataFrame, committed: int, ordinal: str = "ordinal") -> DataFrame:
@@ -55,6 +55,9 @@ def with_ordinals(
     driver, of bounded number; for texts much longer than a chat line, lower
     ``spark.sql.execution.rangeExchange.sampleSizePerPartition``.
     """
+    taken = {"ordinal", "_place", "_partition"} & {c.lower() for c in raw.columns}
+    if taken:
+        raise ValueError(f"the log already has {', '.join(sorted(taken))}")
     spark = raw.sparkSession
     path = work_path or new_folder(spark, "ordinals")
     keys = [*order_cols, "_place"]

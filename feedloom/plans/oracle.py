@@ -1,7 +1,7 @@
 """The same results in plain SQL, for DuckDB over the same tables."""
 
 from feedloom import fixed_values as fixed
-from feedloom.plans.fixtures import FIRST_STATUS_S, RAW_EDITS_SQL
+from feedloom.plans.fixtures import FIRST_STATUS_S, ODD_STATUSES, RAW_EDITS_SQL
 from feedloom.plans.queries import CURVE_START_MS, DEMO_CHANNEL
 
 _RAW = RAW_EDITS_SQL.format(ms="epoch_us(ts) // 1000", src="events")
@@ -14,7 +14,7 @@ found AS (
    ['title', 'flags', 'diffUrl', 'user', 'number', 'summary']) AS f
  FROM raw),
 judged AS (
- SELECT *, CASE WHEN NOT is_edit THEN 'no_match'
+ SELECT *, CASE WHEN is_edit IS NOT TRUE THEN 'no_match'
   WHEN NOT regexp_matches(f.number, '^[+-]?[0-9]+$') OR try_cast(f.number AS INTEGER) IS NULL
    THEN 'bad_byte_diff'
   WHEN channel IS NULL THEN 'null_field' END AS reason
@@ -51,43 +51,34 @@ _EVENTS = (
 )
 _ORDINALS = (
     f"WITH raw AS ({_RAW}) "
-    "SELECT row_number() OVER (ORDER BY received_ms, channel, line) - 1 AS ordinal, "
+    "SELECT row_number() OVER (ORDER BY received_ms NULLS FIRST, channel NULLS FIRST, "
+    "line NULLS FIRST) - 1 AS ordinal, "
     "received_ms, channel, line FROM raw"
 )
-_TWEETS = f"""
-SELECT text, source AS "user", lang AS userLang,
- make_timestamp(({FIRST_STATUS_S} + doc_id) * 1000000) AS createdDate,
- doc_id % 5 = 0 AS isRetweeted
-FROM documents WHERE text IS NOT NULL
+_REASON = "CASE " + " ".join(
+    f"WHEN {'text IS NULL OR ' if reason == 'no_text' else ''}doc_id % {n} = 0 THEN '{reason}'"
+    for reason, n in ODD_STATUSES.items()
+) + " END"
+_STATUSES = f"""
+WITH statuses AS (
+ SELECT doc_id AS ordinal, text, source AS "user", lang AS userLang,
+  make_timestamp(({FIRST_STATUS_S} + doc_id) * 1000000) AS createdDate,
+  doc_id % 5 = 0 AS isRetweeted, {_REASON} AS reason
+ FROM documents),
+top AS (SELECT coalesce(max(doc_id), -1) AS head FROM documents)
 """
+_TWEET = 'text, "user", userLang, createdDate, isRetweeted'
+_TWEETS = f"{_STATUSES} SELECT {_TWEET} FROM statuses WHERE reason IS NULL"
 
 
 def _curve(rate: int, ramp: int, second: str = "s") -> str:
-    """Rows by a second, as the sum of the speeds of the seconds before."""
+    """Rows by a second, as the sum of the speeds of the seconds before; none before second 0."""
+    second = f"greatest({second}, 0)"
     r = f"least({second}, {ramp})"
     in_ramp = f"{rate // (ramp + 1)} * (CAST({r} AS HUGEINT) * ({r} + 1) // 2)"
     return f"CAST({in_ramp} AS BIGINT) + ({second} - {r}) * {rate}"
 
 
-_SPAN = f"raw AS ({_RAW}), span AS (SELECT count(*) AS n, min(received_ms) AS ms FROM raw)"
-
-
-def _rate(start: int, rate: int, ramp: int) -> str:
-    return f"""
-WITH {_SPAN},
-bounds AS (
- SELECT n, ms, {_curve(rate, ramp, str(start))} AS a, {_curve(rate, ramp, 'n')} AS b FROM span),
-steps AS (
- SELECT ms, a, CAST((n - {start}) * 1000 AS DOUBLE) / CAST(b - a AS DOUBLE) AS ms_per_row,
-  unnest(range(a, b)) AS value
- FROM bounds),
-places AS (SELECT *, CAST(value - a AS DOUBLE) * ms_per_row AS x FROM steps)
-SELECT make_timestamp((ms + {start * 1000} + CAST(floor(x) AS BIGINT)
-  + CASE WHEN x - floor(x) >= 0.5 THEN 1 ELSE 0 END) * 1000) AS timestamp, value
-FROM places
-"""
-
-
 _STEP = 1000 * fixed.COUNTER_PARTITIONS // fixed.COUNTER_ROWS_PER_SECOND
 
 ORACLE: dict[str, str] = {
@@ -116,26 +107,52 @@ ORACLE: dict[str, str] = {
     "log_ordinals": _ORDINALS,
     "log_ordinals_stream": _ORDINALS,
     "edits_stream": _EDITS,
+    "edits_channel_stream": f"{_EDITS} WHERE channel = '{DEMO_CHANNEL}'",
     "edit_events_stream": _EVENTS,
     "received_count": f"{_CTES} SELECT channel, count(*) AS received FROM parsed GROUP BY channel",
     "received_total": f"{_CTES} SELECT count(*) AS received FROM parsed",
     "rate_curve": (
         f"WITH raw AS ({_RAW}), "
-        f"seconds AS (SELECT ordinal, (received_ms - {CURVE_START_MS}) // 1000 AS s FROM raw) "
+        "seconds AS (SELECT ordinal, "
+        f"CAST(floor((received_ms - {CURVE_START_MS}) / 1000.0) AS BIGINT) AS s FROM raw) "
         f"SELECT ordinal, s AS second, {_curve(1, 0)} AS steady, {_curve(10, 4)} AS short_ramp, "
         f"{_curve(3, 9)} AS starved_ramp, {_curve(2_000_003, 1_500_000)} AS long_ramp FROM seconds"
     ),
-    "rate_rows": _rate(0, 6, 0),
-    "rate_rows_ramp": _rate(1, 7, 6),
-    "rate_rows_partitioned": f"""
-WITH {_SPAN}, ids AS (
- SELECT ms, unnest(range(0, n * 1000 // {_STEP} * {fixed.COUNTER_PARTITIONS})) AS value FROM span)
-SELECT make_timestamp((ms + value // {fixed.COUNTER_PARTITIONS} * {_STEP}) * 1000) AS timestamp,
- value
-FROM ids
+    "due_times": f"""
+WITH raw AS ({_RAW}),
+bounds AS (SELECT {_curve(7, 6, '1')} AS a, {_curve(7, 6, '500')} AS b),
+places AS (
+ SELECT ordinal, CASE WHEN ordinal >= a AND ordinal < b THEN
+  CAST(ordinal - a AS DOUBLE) * (CAST(499000 AS DOUBLE) / CAST(b - a AS DOUBLE)) END AS x
+ FROM raw, bounds)
+SELECT ordinal, make_timestamp(({CURVE_START_MS + 1000} + CAST(floor(x) AS BIGINT)
+  + CASE WHEN x - floor(x) >= 0.5 THEN 1 ELSE 0 END) * 1000) AS due
+FROM places
+""",
+    "due_times_stepped": f"""
+WITH raw AS ({_RAW})
+SELECT ordinal, make_timestamp(
+ ({CURVE_START_MS} + ordinal // {fixed.COUNTER_PARTITIONS} * {_STEP}) * 1000) AS due
+FROM raw
 """,
     "tweets": _TWEETS,
+    "tweet_rejects": (
+        f"{_STATUSES} SELECT ordinal, reason FROM statuses WHERE reason IS NOT NULL"
+    ),
     "tweets_stream": _TWEETS,
+    "tweets_replay": (
+        f"{_STATUSES} SELECT {_TWEET} FROM statuses, top WHERE reason IS NULL "
+        "AND ordinal > head // 4 AND ordinal <= head * 3 // 4"
+    ),
+    "tweets_backlog": (
+        f"{_STATUSES} SELECT ordinal, {_TWEET} FROM statuses, top "
+        "WHERE reason IS NULL AND ordinal > head // 2"
+    ),
+    "tweets_head": f"{_STATUSES} SELECT head FROM top",
+    "tweets_received": (
+        f'{_STATUSES} SELECT "user", userLang, count(*) AS received FROM statuses '
+        'WHERE reason IS NULL GROUP BY "user", userLang'
+    ),
 }
 
 

@@ -1,5 +1,7 @@
 """The queries that are checked against SQL, over the whole of the tables given.
 
+They leave UTC as the time zone of the session, and views named after what they filled.
+
 Times come out without time zone, in UTC, so that they compare with those of other engines.
 """
 
@@ -10,17 +12,19 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.series import elapsed_seconds, value_at_second
 from feedloom.operators.counts import received_count, received_total
+from feedloom.operators.due import due_times, due_times_stepped
 from feedloom.operators.edits import (
     edit_events,
     edit_flags,
     edit_rows,
-    edits_head,
+    first_edits,
     flag_code,
+    for_channel,
     parse_edits,
     rejected_edits,
 )
 from feedloom.operators.log import backlog, log_head, replay_range, with_ordinals
-from feedloom.operators.tweets import tweet_rows
+from feedloom.operators.tweets import parse_statuses, rejected_statuses, tweet_rows
 from feedloom.plans.fixtures import (
     coloured,
     land_raw_edits,
@@ -28,10 +32,9 @@ from feedloom.plans.fixtures import (
     raw_edits,
     raw_statuses,
 )
-from feedloom.schemas import EDIT_ROW
+from feedloom.schemas import EDIT_EVENT, EDIT_ROW, RAW_EDIT, TWEET_ROW
 from feedloom.session import new_folder
-from feedloom.sources.edits import read_edits, read_edits_stream
-from feedloom.sources.rate import rate_rows, rate_rows_partitioned
+from feedloom.sources.edits import read_edits_stream
 from feedloom.sources.tweets import read_tweets
 from feedloom.streaming.sinks import (
     append_numbered,
@@ -41,12 +44,13 @@ from feedloom.streaming.sinks import (
     open_table,
     run_available,
     snapshots,
+    written,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DEMO_CHANNEL = "#fr.wikipedia"
-CURVE_START_MS = 1704067200000  # 2024-01-01T00:00:00Z
+CURVE_START_MS = 1704070800000  # 2024-01-01T01:00:00Z, later than the first events
 
 
 def _utc(df: DataFrame, name: str = "timestamp") -> DataFrame:
@@ -58,7 +62,7 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edits_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _utc(read_edits(spark, land_raw_edits(spark, sf_dir), DEMO_CHANNEL))
+    return _utc(edit_rows(parse_edits(for_channel(raw_edits(spark, sf_dir), DEMO_CHANNEL))))
 
 
 def edit_events_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +92,8 @@ def irc_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _utc(edit_rows(parse_edits(coloured(raw_edits(spark, sf_dir)))))
 
 
-def first_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = edits_head(parse_edits(raw_edits(spark, sf_dir)))
+def head_of_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = first_edits(raw_edits(spark, sf_dir))
     time = F.timestamp_millis("received_ms").alias("timestamp")
     return _utc(head.select("ordinal", time, *EDIT_ROW.names[1:]))
 
@@ -121,26 +125,33 @@ def log_ordinals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "log-ordinals-stream")
     stream = raw_edits(spark, sf_dir, streaming=True).drop("ordinal")
     run_available(append_numbered(stream, f"{out}/log", f"{out}/checkpoint", every=None))
-    return spark.read.parquet(f"{out}/log").drop("batch")
+    return written(spark, f"{out}/log", RAW_EDIT)
 
 
-def _fill_edits_table(spark: SparkSession, sf_dir: str) -> None:
-    """Streams a landed log into a table that SQL knows as ``edits``."""
-    log = land_raw_edits(spark, sf_dir)
-    out = new_folder(spark, "edits-stream")
-    stream = read_edits_stream(spark, log, channel=None)
-    run_available(append_table(stream, "edits", f"{out}/checkpoint", f"{out}/table"))
-    open_table(spark, "edits", f"{out}/table")
+def _fill_table(stream: DataFrame, name: str) -> DataFrame:
+    """Streams into a table that SQL knows as ``name``."""
+    spark = stream.sparkSession
+    out = new_folder(spark, name)
+    run_available(append_table(stream, name, f"{out}/checkpoint", f"{out}/table"))
+    return open_table(spark, name, f"{out}/table", stream.schema)
 
 
 def edits_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _fill_edits_table(spark, sf_dir)
-    return _utc(spark.sql("SELECT * FROM edits"))
+    _fill_table(edit_rows(parse_edits(raw_edits(spark, sf_dir, streaming=True))), "edits_all")
+    return _utc(spark.sql("SELECT * FROM edits_all"))
 
 
 def edits_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _fill_edits_table(spark, sf_dir)
-    return spark.sql("SELECT count(*) AS n FROM edits")
+    _fill_table(edit_rows(parse_edits(raw_edits(spark, sf_dir, streaming=True))), "edits_counted")
+    return spark.sql("SELECT count(*) AS n FROM edits_counted")
+
+
+def edits_channel_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One channel of a log with a folder per channel, in small batches, into a table."""
+    log = land_raw_edits(spark, sf_dir)
+    stream = read_edits_stream(spark, log, DEMO_CHANNEL, max_files_per_trigger=4)
+    _fill_table(stream, "edits_of_channel")
+    return _utc(spark.sql("SELECT * FROM edits_of_channel"))
 
 
 def edit_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +162,7 @@ def edit_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     stream = edit_events(parse_edits(raw_edits(spark, sf_dir, streaming=True)))
     run_available(for_each_batch(stream, write, f"{out}/checkpoint", every=None))
-    return spark.read.parquet(f"{out}/table").drop("batch")
+    return written(spark, f"{out}/table", EDIT_EVENT)
 
 
 def channel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,37 +189,47 @@ def rate_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _span(raw: DataFrame) -> tuple[int, int]:
-    """A second per row of the log, from the time of its first row."""
-    row = raw.agg(F.count("*").alias("n"), F.min("received_ms").alias("ms")).first()
-    return row["n"], row["ms"]
+def due(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = raw_edits(spark, sf_dir).select("ordinal")
+    return _utc(due_times(log, 1, 500, CURVE_START_MS, rows_per_second=7, ramp_up="6500ms"), "due")
 
 
-def rate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seconds, start_ms = _span(raw_edits(spark, sf_dir))
-    return _utc(rate_rows(spark, 0, seconds, start_ms, rows_per_second=6))
+def due_stepped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _utc(due_times_stepped(raw_edits(spark, sf_dir).select("ordinal"), CURVE_START_MS), "due")
 
 
-def rate_series_ramp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seconds, start_ms = _span(raw_edits(spark, sf_dir))
-    return _utc(rate_rows(spark, 1, seconds, start_ms, rows_per_second=7, ramp_up="6500ms"))
+def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _utc(tweet_rows(raw_statuses(spark, sf_dir)), "createdDate")
 
 
-def rate_series_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seconds, start_ms = _span(raw_edits(spark, sf_dir))
-    return _utc(rate_rows_partitioned(spark, start_ms, start_ms + seconds * 1000))
+def tweet_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected_statuses(raw_statuses(spark, sf_dir)).select("ordinal", "reason")
 
 
-def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _utc(tweet_rows(raw_statuses(spark, sf_dir)), "createdDate")
+def tweets_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = read_tweets(spark, land_raw_statuses(spark, sf_dir), streaming=True)
+    return _utc(_fill_table(stream, "tweets_landed"), "createdDate")
 
 
-def tweets_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tweets_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = land_raw_statuses(spark, sf_dir)
-    out = new_folder(spark, "tweets-stream")
-    stream = read_tweets(spark, log, streaming=True)
-    run_available(append_table(stream, "tweets", f"{out}/checkpoint", f"{out}/table"))
-    return _utc(open_table(spark, "tweets", f"{out}/table"), "createdDate")
+    head = _head(raw_statuses(spark, sf_dir))
+    replay = read_tweets(spark, log, start=head // 4, end=head * 3 // 4)
+    return _utc(replay.select(*TWEET_ROW.names), "createdDate")
+
+
+def tweets_left_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_statuses(spark, sf_dir)
+    left = parse_statuses(backlog(raw, _head(raw) // 2))
+    return _utc(left.drop("received_ms"), "createdDate")
+
+
+def tweets_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_head(raw_statuses(spark, sf_dir))
+
+
+def tweets_received(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return received_count(tweet_rows(raw_statuses(spark, sf_dir)), by=["user", "userLang"])
 
 
 QUERIES: dict[str, Query] = {
@@ -219,22 +240,27 @@ QUERIES: dict[str, Query] = {
     "edit_rejects": edit_rejects,
     "irc_format": irc_format,
     "edits_count": edits_count,
-    "edits_head": first_edits,
+    "edits_head": head_of_edits,
     "log_head": head_of_log,
     "replay_range": replayed,
     "backlog": left_over,
     "log_ordinals": log_ordinals,
     "log_ordinals_stream": log_ordinals_stream,
     "edits_stream": edits_stream,
+    "edits_channel_stream": edits_channel_stream,
     "edit_events_stream": edit_events_stream,
     "received_count": channel_counts,
     "received_total": total_count,
     "rate_curve": rate_curve,
-    "rate_rows": rate_series,
-    "rate_rows_ramp": rate_series_ramp,
-    "rate_rows_partitioned": rate_series_counters,
+    "due_times": due,
+    "due_times_stepped": due_stepped,
     "tweets": tweets,
+    "tweet_rejects": tweet_rejects,
     "tweets_stream": tweets_stream,
+    "tweets_replay": tweets_replayed,
+    "tweets_backlog": tweets_left_over,
+    "tweets_head": tweets_head,
+    "tweets_received": tweets_received,
 }
 
 

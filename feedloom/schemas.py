@@ -1,4 +1,7 @@
-"""Schemas of the logs that are read and of the rows that come out."""
+"""Schemas of the logs that are read and of the rows that come out.
+
+Fixed values: names, types and order must be exactly as they are for results to be right.
+"""
 
 from pyspark.sql import types as T
 
@@ -51,6 +54,14 @@ REJECTED_EDIT = T.StructType(
     ]
 )
 
+RAW_STATUS = T.StructType(
+    [
+        T.StructField("ordinal", T.LongType()),
+        T.StructField("received_ms", T.LongType()),
+        T.StructField("value", T.StringType()),
+    ]
+)
+
 # The part of a JSON status that is read.
 STATUS = T.StructType(
     [
@@ -78,10 +89,3 @@ TWEET_ROW = T.StructType(
         T.StructField("isRetweeted", T.BooleanType()),
     ]
 )
-
-RATE_ROW = T.StructType(
-    [
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("value", T.LongType()),
-    ]
-)

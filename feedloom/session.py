@@ -22,6 +22,35 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_given: list[str] = []
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that nothing has used before."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _given.append(f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}")
+    return _given[-1]
+
+
+def clear_folders(spark: SparkSession) -> int:
+    """Removes what ``new_folder`` has given out, and tells how many folders there were.
+
+    For when no result that was made from them is still to be read.
+    """
+    removed = 0
+    while _given:
+        path, files = _files(spark, _given.pop())
+        removed += files.delete(path, True)
+    return removed
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything has been written there."""
+    place, files = _files(spark, path)
+    return files.exists(place)
+
+
+def _files(spark: SparkSession, path: str):
+    """The path and its file system, as Spark itself reaches it."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())

@@ -6,12 +6,15 @@ a query takes what is there, in as many batches as needed, and ends.
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from feedloom.fixed_values import BATCH_INTERVAL
 from feedloom.operators.log import with_ordinals
+from feedloom.session import folder_exists
 
 
 def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -21,39 +24,48 @@ def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
 
 
 def append_table(
-    sdf: DataFrame,
-    name: str,
-    checkpoint: str | None = None,
-    path: str | None = None,
-    every: str | None = None,
+    sdf: DataFrame, name: str, checkpoint: str, path: str, every: str | None = None
 ) -> StreamingQuery:
-    """Appends the stream to a table.
+    """Appends the stream to a parquet table, each row exactly once, also over a restart.
 
-    With ``path`` it is a parquet table, to which each row is added exactly once, also over a
-    restart; ``open_table`` makes it known to SQL as ``name``. Without, it is a table ``name``
-    in the memory of the driver, for a look at a few rows.
+    ``open_table`` makes it known to SQL as ``name``.
     """
     writer = _trigger(sdf.writeStream.outputMode("append").queryName(name), every)
-    if checkpoint is not None:
-        writer = writer.option("checkpointLocation", checkpoint)
-    if path is None:
-        return writer.format("memory").start()
-    if checkpoint is None:
-        raise ValueError("a parquet table needs a checkpoint")
+    writer = writer.option("checkpointLocation", checkpoint)
     return writer.format("parquet").option("path", path).start()
 
 
-def open_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """What ``append_table`` has written so far, as a view ``name``."""
-    table = spark.read.parquet(path)
+def memory_table(sdf: DataFrame, name: str, every: str | None = None) -> StreamingQuery:
+    """Appends the stream to a table ``name`` in the memory of the driver.
+
+    Every row stays there, so this is for streams of some thousand rows in all.
+    """
+    writer = _trigger(sdf.writeStream.outputMode("append").queryName(name), every)
+    return writer.format("memory").start()
+
+
+def written(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What a stream has written so far; an empty frame if it has not written anything."""
+    if not folder_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def open_table(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
+    """What ``append_table`` has written so far, as a view ``name``, which it replaces."""
+    table = written(spark, path, schema)
     table.createOrReplaceTempView(name)
     return table
 
 
 def to_console(sdf: DataFrame, every: str | None = None, rows: int = 20) -> StreamingQuery:
-    """Prints the first rows of each batch."""
-    writer = sdf.writeStream.format("console").option("numRows", rows)
-    return _trigger(writer, every).start()
+    """Prints the first rows of each batch; no others reach the driver."""
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        batch.show(rows)
+
+    return _trigger(sdf.writeStream.foreachBatch(show), every).start()
 
 
 def for_each_batch(
@@ -65,12 +77,17 @@ def for_each_batch(
     """Calls ``fn`` with each batch that has rows, and its number.
 
     A batch may come again after a restart, with the same number; ``fn`` should replace what
-    it wrote for it.
+    it wrote for it. The batch is kept on the disks of the executors meanwhile, so that the
+    look at whether it has rows does not make them twice.
     """
 
     def call(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            fn(batch, batch_id)
+        batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            if not batch.isEmpty():
+                fn(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = sdf.writeStream.foreachBatch(call).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
@@ -108,20 +125,22 @@ def append_numbered(
 ) -> StreamingQuery:
     """Appends a stream of raw rows to a log and gives them ordinals without gaps.
 
-    Ordinals follow the order of the batches, and within a batch that of ``order_cols``. Next
-    to the rows of a batch stands the ordinal that comes after them, so the next batch has to
-    read one number only. A batch that comes again replaces what it wrote.
+    Ordinals follow the order of the batches, and within a batch that of ``order_cols``. The
+    ordinal that comes after the last two batches is kept, so the next batch, or the last one
+    if it comes again and replaces what it wrote, has to read one number only.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         first = 0
         if batch_id > 0:
-            first = spark.read.parquet(f"{path}/_next/{batch_id - 1}").first()["next"]
+            first = spark.read.parquet(f"{path}/_next/{(batch_id - 1) % 2}").first()["next"]
         rows = with_ordinals(batch, order_cols, first, work_path=f"{path}/_sorted")
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        after = rows.agg((F.count("*") + F.lit(first).cast("bigint")).alias("next"))
-        after.write.mode("overwrite").parquet(f"{path}/_next/{batch_id}")
+        own = f"{path}/batch={batch_id}"
+        rows.write.mode("overwrite").parquet(own)
+        last = spark.read.schema(rows.schema).parquet(own).agg(F.max("ordinal") + 1)
+        after = last.toDF("next").select(F.coalesce("next", F.lit(first).cast("bigint")).alias("next"))
+        after.write.mode("overwrite").parquet(f"{path}/_next/{batch_id % 2}")
 
     writer = sdf.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()

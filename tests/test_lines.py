@@ -227,7 +227,8 @@ def test_format_codes_are_stripped(spark):
 
 def test_coloured_lines_give_the_same_edits(raw_small):
     colours = coloured(raw_small)
-    assert colours.where(F.col("line").contains("\x03")).count() == raw_small.count()
+    lines = raw_small.where("line is not null").count()
+    assert colours.where(F.col("line").contains("\x03")).count() == lines
     assert rows(parse_edits(colours)) == rows(parse_edits(raw_small))
 
 
@@ -259,4 +260,6 @@ def test_each_line_is_matched_once(raw_small):
     """The filter must not carry a copy of the match."""
     for df in (edit_events(parse_edits(raw_small)), rejected_edits(raw_small)):
         assert plan(df).count("reverse(regexp_replace") == 1
+        # two tests of the number, in the one place that reads it
+        assert plan(df).count("RLIKE") == 2
     assert line_parts(raw_small).columns == [*raw_small.columns, "parts"]

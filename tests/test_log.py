@@ -6,7 +6,15 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from feedloom import backlog, edits_head, log_head, parse_edits, replay_range, with_ordinals
+from feedloom import (
+    backlog,
+    edits_head,
+    first_edits,
+    log_head,
+    parse_edits,
+    replay_range,
+    with_ordinals,
+)
 from feedloom.session import shared_folder
 
 LINES = "received_ms bigint, channel string, line string"
@@ -87,3 +95,22 @@ def test_ordinals_come_from_a_written_table(spark, raw_small):
     assert all(shared_folder(spark).split(":")[-1] in path for path in got.inputFiles())
     assert "rangepartitioning" not in plan(got)
     assert "BroadcastHashJoin" in plan(got)
+
+
+@pytest.mark.parametrize("n", [0, 1, 20, 900, 5000])
+def test_first_edits_by_growing_ranges(raw_small, n):
+    whole = parse_edits(raw_small).orderBy("ordinal").limit(n)
+    assert rows(first_edits(raw_small, n)) == rows(whole)
+    assert first_edits(raw_small.where("false"), n).count() == 0
+
+
+def test_open_ends_keep_rows_without_ordinal(raw_small):
+    log = raw_small.withColumn("ordinal", F.when(F.col("ordinal") > 9, F.col("ordinal")))
+    assert replay_range(log).count() == 1000
+    assert replay_range(log, end=50).count() == 41
+
+
+@pytest.mark.parametrize("name", ["ordinal", "_place", "_partition"])
+def test_names_that_clash(raw_small, name):
+    with pytest.raises(ValueError, match=name):
+        with_ordinals(raw_small.drop("ordinal").withColumn(name, F.lit(1)))

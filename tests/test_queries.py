@@ -9,10 +9,11 @@ from conftest import plan
 
 import __spark_entry__ as entry_module
 from feedloom import session as folders
+from feedloom.plans import oracle, queries as plans
 from feedloom.schemas import EDIT_ROW
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = plans.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +27,8 @@ def duck(small):
 
 def test_all_have_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry_module.queries().keys()
+    assert ORACLE.items() <= entry_module.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -39,7 +42,8 @@ def test_query(spark, duck, small, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["edits", "edit_events", "edit_flags", "edit_rejects", "replay_range", "rate_curve"]
+    "name", ["edits", "edit_events", "edit_flags", "edit_rejects", "replay_range", "rate_curve",
+             "due_times", "due_times_stepped", "tweets", "tweet_rejects"]
 )
 def test_no_shuffle(spark, small, name):
     text = plan(QUERIES[name](spark, small))

@@ -4,13 +4,16 @@ from fractions import Fraction
 from math import floor
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
 
-from feedloom import rate_rows, rate_rows_partitioned, rate_stream
-from feedloom.functions.series import elapsed_seconds, round_half_up, value_at_second
-from feedloom.schemas import RATE_ROW
-from feedloom.sources.rate import rows_by_second, whole_seconds
+from feedloom import due_times, due_times_stepped
+from feedloom.functions.series import (
+    elapsed_seconds,
+    round_half_up,
+    rows_by_second,
+    value_at_second,
+    whole_seconds,
+)
 
 START = 1_700_000_000_000
 
@@ -20,10 +23,6 @@ def values_at(spark, seconds, rate, ramp):
     return [r[0] for r in df.select(value_at_second(F.col("s"), rate, ramp)).collect()]
 
 
-def in_ms(df):
-    return sorted((r[1], r[0]) for r in df.select(F.unix_millis("timestamp"), "value").collect())
-
-
 def test_golden_curves(spark):
     assert values_at(spark, range(7), 10, 4) == [0, 2, 6, 12, 20, 30, 40]
     assert values_at(spark, range(12), 3, 9) == [0] * 10 + [3, 6]
@@ -58,48 +57,6 @@ def test_round_half_up(spark):
     assert [r[0] for r in got.collect()] == [floor(Fraction(x) + Fraction(1, 2)) for x in xs]
 
 
-@pytest.mark.parametrize("start,end,rate,ramp", [(0, 9, 10, 4), (3, 8, 7, 6), (0, 59, 9, 0)])
-def test_rows_are_spread_over_the_range(spark, start, end, rate, ramp):
-    first, last = rows_by_second(start, rate, ramp), rows_by_second(end, rate, ramp)
-    ms_per_row = (end - start) * 1000 / (last - first)
-    expected = [
-        (v, START + start * 1000 + floor(Fraction((v - first) * ms_per_row) + Fraction(1, 2)))
-        for v in range(first, last)
-    ]
-    got = rate_rows(spark, start, end, START, rate, f"{ramp}s", 3)
-    assert in_ms(got) == expected
-    assert got.rdd.getNumPartitions() == 3
-    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in RATE_ROW]
-
-
-def test_values_do_not_depend_on_the_cut(spark):
-    cut = rate_rows(spark, 0, 5, START, 10, 8).unionAll(rate_rows(spark, 5, 20, START, 10, 8))
-    assert rows(cut.select("value")) == rows(rate_rows(spark, 0, 20, START, 10, 8).select("value"))
-
-
-def test_empty_ranges(spark):
-    for df in (rate_rows(spark, 4, 4, START), rate_rows(spark, 0, 9, START, 3, "9s")):
-        assert df.count() == 0
-        assert df.columns == ["timestamp", "value"]
-
-
-@pytest.mark.parametrize(
-    "error,options",
-    [
-        (ValueError, {"rows_per_second": 0}),
-        (ValueError, {"ramp_up": "-1s"}),
-        (ValueError, {"ramp_up": "soon"}),
-        (ValueError, {"num_partitions": 0}),
-        (ValueError, {"start_s": 6}),
-        (OverflowError, {"rows_per_second": 2**60, "ramp_up": "9s"}),
-        (OverflowError, {"rows_per_second": 2**61}),
-    ],
-)
-def test_bad_options(spark, error, options):
-    with pytest.raises(error):
-        rate_rows(spark, **{"start_s": 0, "end_s": 5, "start_time_ms": START, **options})
-
-
 def test_whole_seconds():
     texts = {"5s": 5, "1500ms": 1, "2m": 120, "2min": 120, "1h": 3600, "1d": 86400, "7": 7}
     texts.update({" 3S ": 3, "999999us": 0, "-1s": -1, "-999ms": 0})
@@ -107,40 +64,49 @@ def test_whole_seconds():
     assert whole_seconds(4) == 4
 
 
-def counters(creation, now, rate, parts):
-    """The rows one by one: each counter has a row per step of its own."""
-    step = 1000 * parts // rate
-    for part in range(parts):
-        value, at = part, creation
-        while at + step <= now:
-            yield value, at
-            value, at = value + parts, at + step
+def test_nothing_before_the_start(spark):
+    for rate, ramp in ((10, 4), (3, 9), (7, 0)):
+        values = values_at(spark, range(-8, 9), rate, ramp)
+        assert values[:9] == [0] * 9 and values == sorted(values)
 
 
-@pytest.mark.parametrize("rate,parts,ms", [(6, 5, 12_345), (10, 4, 4000), (1, 3, 2999), (7, 2, 0)])
-def test_counters(spark, rate, parts, ms):
-    got = rate_rows_partitioned(spark, START, START + ms, rate, parts)
-    assert in_ms(got) == sorted(counters(START, START + ms, rate, parts))
+def due(df):
+    return {r[0]: r[1] for r in df.select("ordinal", F.unix_millis("due")).collect()}
 
 
-def test_counters_go_on_where_they_stopped(spark):
-    whole = rate_rows_partitioned(spark, START, START + 20_000)
-    until = rate_rows_partitioned(spark, START, START + 7_777)
-    after = rate_rows_partitioned(spark, START, START + 20_000, from_ms=START + 7_777, tasks=2)
-    assert in_ms(until.unionAll(after)) == in_ms(whole)
-    assert after.rdd.getNumPartitions() == 2
-    assert rate_rows_partitioned(spark, START, START - 5_000).count() == 0
+@pytest.mark.parametrize("start,end,rate,ramp", [(0, 5, 6, 0), (1, 9, 7, "6500ms"), (2, 2, 3, 0)])
+def test_due_times_are_spread_over_the_span(spark, start, end, rate, ramp):
+    log = spark.range(-3, 80).withColumnRenamed("id", "ordinal")
+    got = due(due_times(log, start, end, START, rate, ramp))
+    first, last = (rows_by_second(s, rate, whole_seconds(ramp)) for s in (start, end))
+    for n, ms in got.items():
+        if not first <= n < last:
+            assert ms is None
+            continue
+        exact = Fraction(float((end - start) * 1000) / float(last - first) * (n - first))
+        assert ms == START + start * 1000 + floor(exact + Fraction(1, 2))
+    assert len(got) == 83
 
 
-@pytest.mark.parametrize("rate,parts", [(0, 5), (5001, 5), (6, 0)])
-def test_bad_counters(spark, rate, parts):
-    with pytest.raises(ValueError):
-        rate_rows_partitioned(spark, START, START + 1000, rate, parts)
+def test_due_times_of_counters(spark):
+    log = spark.createDataFrame([(n,) for n in (0, 1, 4, 5, 23, None)], "ordinal bigint")
+    got = due(due_times_stepped(log, START, 6, 5))
+    assert got == {n: None if n is None else START + n // 5 * 833 for n in (0, 1, 4, 5, 23, None)}
 
 
-def test_rate_stream(spark):
-    stream = rate_stream(spark, 5, "2s", 3)
-    assert stream.isStreaming
-    assert [(f.name, f.dataType) for f in stream.schema] == [(f.name, f.dataType) for f in RATE_ROW]
+@pytest.mark.parametrize(
+    "error,options",
+    [
+        (ValueError, {"rows_per_second": 0}),
+        (ValueError, {"ramp_up": "-1s"}),
+        (ValueError, {"ramp_up": "5 parsecs"}),
+        (ValueError, {"start_s": 9}),
+        (OverflowError, {"ramp_up": 2**62, "rows_per_second": 4}),
+    ],
+)
+def test_bad_options(spark, error, options):
+    log = spark.range(1).withColumnRenamed("id", "ordinal")
+    with pytest.raises(error):
+        due_times(log, **{"start_s": 0, "end_s": 5, "start_time_ms": START} | options)
     with pytest.raises(ValueError):
-        rate_stream(spark, 0)
+        due_times_stepped(log, START, 6000, 5)

@@ -17,8 +17,11 @@ from feedloom import (
     read_tweets,
     received_count,
     received_total,
+    rejected_statuses,
     replay_range,
+    tweet_rows,
 )
+from feedloom.plans.fixtures import land_raw_statuses
 from feedloom.schemas import TWEET_ROW
 
 
@@ -60,7 +63,7 @@ def test_channel_and_range_reach_the_scan(spark, landed):
     assert "GreaterThan(ordinal,10)" in text and "LessThanOrEqual(ordinal,20)" in text
     assert "Exchange" not in text
     unranged = plan(read_edits(spark, landed, "#fr.wikipedia").select("timestamp"))
-    assert "ReadSchema: struct<ordinal:bigint,received_ms:bigint,line:string>" in unranged
+    assert "ReadSchema: struct<received_ms:bigint,line:string>" in unranged
 
 
 @pytest.mark.parametrize("files", [0, -1])
@@ -112,7 +115,9 @@ def test_tweets(spark, tmp_path):
             False,
         ),
         status(retweeted=...): ("hello", "bob", "en", at, False),
-        status(created_at="yesterday"): ("hello", "bob", "en", None, False),
+        status(created_at="Mar 11 08:00:01 +0000 2018"): ("hello", "bob", "en", at, False),
+        status(created_at="yesterday"): None,
+        status(retweeted="yes"): None,
         status(user=...): ("hello", None, None, at, False),
         status(text="w " * 20000): ("w " * 20000, "bob", "en", at, False),
         '{"delete":{"status":{"id":1}}}': None,
@@ -122,7 +127,7 @@ def test_tweets(spark, tmp_path):
         "": None,
     }
     (tmp_path / "log.txt").write_text("\n".join(lines), encoding="utf-8")
-    got = read_tweets(spark, str(tmp_path))
+    got = read_tweets(spark, str(tmp_path), fmt="text")
     assert [(f.name, f.dataType) for f in got.schema] == [
         (f.name, f.dataType) for f in TWEET_ROW
     ]
@@ -131,4 +136,39 @@ def test_tweets(spark, tmp_path):
 
 def test_each_status_is_parsed_once(spark, tmp_path):
     (tmp_path / "log.txt").write_text(status(), encoding="utf-8")
-    assert plan(read_tweets(spark, str(tmp_path))).count("from_json") == 1
+    assert plan(read_tweets(spark, str(tmp_path), fmt="text")).count("from_json") == 1
+
+
+def test_rejected_statuses(spark):
+    reasons = {
+        '{"text": "cut o': "bad_json",
+        "": "bad_json",
+        " ": "bad_json",
+        None: "bad_json",
+        status(retweeted="yes"): "bad_field",
+        status(user=[1]): "bad_field",
+        '{"limit":{"track":3}}': "no_text",
+        status(text=None): "no_text",
+        status(created_at="yesterday"): "bad_time",
+        status(created_at=...): "bad_time",
+        status(): None,
+    }
+    raw = spark.createDataFrame([(i, v) for i, v in enumerate(reasons)], "n int, value string")
+    got = {r["value"]: r["reason"] for r in rejected_statuses(raw).collect()}
+    assert got == {v: reason for v, reason in reasons.items() if reason}
+    assert tweet_rows(raw).count() == 1
+
+
+def test_tweets_of_a_range(spark, small):
+    path = land_raw_statuses(spark, small)
+    whole = rows(read_tweets(spark, path))
+    parts = [read_tweets(spark, path, end=50), read_tweets(spark, path, start=50)]
+    assert sorted(rows(parts[0]) + rows(parts[1]), key=repr) == whole
+    assert received_count(read_tweets(spark, path), by=[]).first()["received"] == len(whole)
+
+
+def test_log_without_ordinals(spark, raw_small, tmp_path):
+    raw_small.drop("ordinal").write.parquet(f"{tmp_path}/log")
+    edits = read_edits(spark, f"{tmp_path}/log", channel=None)
+    events = read_edit_events(spark, f"{tmp_path}/log", channel=None)
+    assert edits.count() == events.count() == parse_edits(raw_small).count() > 0

@@ -1,5 +1,7 @@
 """Streams: the same rows as the tables, once each, over restarts."""
 
+import os
+import shutil
 import time
 
 import pytest
@@ -11,9 +13,9 @@ from feedloom import (
     edit_events,
     for_each_batch,
     latest_snapshot,
+    memory_table,
     open_table,
     parse_edits,
-    rate_stream,
     read_edit_events,
     read_edits,
     read_edits_stream,
@@ -27,6 +29,9 @@ from feedloom import (
     to_console,
 )
 from feedloom.plans.fixtures import land_raw_statuses
+from feedloom.plans.queries import QUERIES
+from feedloom.schemas import EDIT_ROW, TWEET_ROW
+from feedloom.session import _given, clear_folders, folder_exists, new_folder
 
 
 @pytest.fixture
@@ -47,7 +52,7 @@ def test_table_is_filled_once_over_restarts(spark, raw_small, log, tmp_path):
     def run():
         stream = read_edits_stream(spark, log, channel=None)
         run_available(append_table(stream, "edits_once", checkpoint, table))
-        return open_table(spark, "edits_once", table)
+        return open_table(spark, "edits_once", table, EDIT_ROW)
 
     assert rows(run()) == rows(read_edits(spark, log, channel=None))
     first = rows(run())
@@ -82,16 +87,11 @@ def test_one_channel(spark, log, tmp_path):
 
 
 def test_table_in_memory(spark, log):
-    query = append_table(read_edits_stream(spark, log, channel=None), "edits_memory")
+    query = memory_table(read_edits_stream(spark, log, channel=None), "edits_memory")
     run_available(query)
     assert rows(spark.table("edits_memory")) == rows(read_edits(spark, log, channel=None))
 
 
-def test_parquet_needs_a_checkpoint(spark, log, tmp_path):
-    with pytest.raises(ValueError):
-        append_table(read_edits_stream(spark, log), "edits", path=f"{tmp_path}/t")
-
-
 def test_files_per_batch(spark, log, tmp_path):
     stream = read_edits_stream(spark, log, channel=None, max_files_per_trigger=1)
     query = append_table(stream, "slow", f"{tmp_path}/c", f"{tmp_path}/t")
@@ -131,7 +131,7 @@ def test_default_interval_of_batches(spark, tmp_path, monkeypatch):
         return writer.trigger(availableNow=True)
 
     monkeypatch.setattr("feedloom.streaming.sinks._trigger", record)
-    for_each_batch(rate_stream(spark), lambda df, i: None, f"{tmp_path}/c").stop()
+    for_each_batch(spark.readStream.format("rate").load(), lambda df, i: None, f"{tmp_path}/c").stop()
     assert asked == ["10 seconds"]
 
 
@@ -185,18 +185,71 @@ def test_numbered_batch_that_comes_again(spark, raw_small, log, tmp_path):
     assert run(f"{tmp_path}/a") == run(f"{tmp_path}/b")
 
 
-def test_console(spark, log):
+def test_console(spark, log, capfd):
     query = to_console(read_edits_stream(spark, log, channel=None), rows=3)
     run_available(query)
     assert query.lastProgress.numInputRows == 1000
-    assert "Console" in query.lastProgress.sink.description
+    assert "only showing top 3 rows" in capfd.readouterr().out
+
+
+@pytest.mark.parametrize("layout", ["file", "folder", "empty"])
+@pytest.mark.parametrize(
+    "name",
+    [
+        "edits_stream",
+        "edits_count",
+        "edits_channel_stream",
+        "edit_events_stream",
+        "received_count",
+        "received_total",
+        "log_ordinals_stream",
+    ],
+)
+def test_streams_of_any_layout(spark, small, tmp_path, layout, name):
+    """A table may be one file, a folder of files, or empty."""
+    events = spark.read.parquet(f"{small}/events.parquet")
+    if layout == "file":
+        shutil.copy(f"{small}/events.parquet", f"{tmp_path}/events.parquet")
+    elif layout == "folder":
+        events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    else:
+        events.limit(0).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got, whole = QUERIES[name](spark, str(tmp_path)), QUERIES[name](spark, small)
+    assert got.schema == whole.schema
+    if layout != "empty":
+        assert rows(got) == rows(whole) != []
+    else:
+        assert rows(got) in ([], [(0,)])
+
+
+def test_channel_stream_reads_one_folder(spark, landed):
+    stream = read_edits_stream(spark, landed, "#fr.wikipedia")
+    query = memory_table(stream, "one_folder")
+    run_available(query)
+    of_channel = spark.read.parquet(landed).where("channel = '#fr.wikipedia'").count()
+    assert query.lastProgress.numInputRows == of_channel
+
+
+def test_numbers_kept_do_not_grow(spark, log, tmp_path):
+    path = f"{tmp_path}/numbered"
+    raw = read_raw_edits(spark, log, None, streaming=True, max_files_per_trigger=1)
+    run_available(append_numbered(raw.drop("ordinal"), path, f"{tmp_path}/c", every=None))
+    assert sorted(os.listdir(f"{path}/_next")) == ["0", "1"]
+
+
+def test_folders_are_cleared(spark):
+    path = new_folder(spark, "to-clear")
+    spark.range(1).write.parquet(path)
+    assert folder_exists(spark, path)
+    _given[:] = [path]
+    assert clear_folders(spark) == 1 and not folder_exists(spark, path)
 
 
 def test_tweets(spark, small, tmp_path):
     path = land_raw_statuses(spark, small)
     stream = read_tweets(spark, path, streaming=True, max_files_per_trigger=1)
     run_available(append_table(stream, "tweets", f"{tmp_path}/c", f"{tmp_path}/t"))
-    assert rows(open_table(spark, "tweets", f"{tmp_path}/t")) == rows(read_tweets(spark, path))
+    assert rows(open_table(spark, "tweets", f"{tmp_path}/t", TWEET_ROW)) == rows(read_tweets(spark, path))
 
 
 def test_errors_are_raised(spark, log, tmp_path):
@@ -209,14 +262,14 @@ def test_errors_are_raised(spark, log, tmp_path):
 
 
 def test_query_that_does_not_end(spark):
-    query = to_console(rate_stream(spark), every="1 hour")
+    query = to_console(spark.readStream.format("rate").load(), every="1 hour")
     with pytest.raises(TimeoutError):
         run_available(query, timeout_s=1)
     assert not query.isActive
 
 
 def test_stop_all(spark):
-    started = [to_console(rate_stream(spark), every="1 hour") for _ in range(2)]
+    started = [to_console(spark.readStream.format("rate").load(), every="1 hour") for _ in range(2)]
     assert stop_all(spark) == 2
     assert not any(q.isActive for q in started)
     assert stop_all(spark) == 0
