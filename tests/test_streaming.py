@@ -75,15 +75,15 @@ def test_stop_in_the_middle(spark, log, tmp_path):
         time.sleep(0.1)
     query.stop()
     whole = rows(read_edits(spark, log, channel=None))
-    assert 0 < open_table(spark, "part", table).count() < len(whole)
+    assert 0 < open_table(spark, "part", table, EDIT_ROW).count() < len(whole)
     run_available(append_table(stream, "rest", checkpoint, table))
-    assert rows(open_table(spark, "rest", table)) == whole
+    assert rows(open_table(spark, "rest", table, EDIT_ROW)) == whole
 
 
 def test_one_channel(spark, log, tmp_path):
     stream = read_edits_stream(spark, log)
     run_available(append_table(stream, "english", f"{tmp_path}/c", f"{tmp_path}/t"))
-    assert rows(open_table(spark, "english", f"{tmp_path}/t")) == rows(read_edits(spark, log))
+    assert rows(open_table(spark, "english", f"{tmp_path}/t", EDIT_ROW)) == rows(read_edits(spark, log))
 
 
 def test_table_in_memory(spark, log):
@@ -188,7 +188,6 @@ def test_numbered_batch_that_comes_again(spark, raw_small, log, tmp_path):
 def test_console(spark, log, capfd):
     query = to_console(read_edits_stream(spark, log, channel=None), rows=3)
     run_available(query)
-    assert query.lastProgress.numInputRows == 1000
     assert "only showing top 3 rows" in capfd.readouterr().out
 
 
