@@ -32,7 +32,7 @@ def due_times(
     ramp_up: str | int = fixed.RATE_RAMP_UP,
     ordinal: str = "ordinal",
 ) -> DataFrame:
-    """Adds ``due``: when the row of each ordinal is emitted, by a series that began at ``start_time_ms``.
+    """Adds ``due``: when a series that began at ``start_time_ms`` emits the row of each ordinal.
 
     The rows of the seconds from ``start_s`` to ``end_s`` are spread evenly over them. Rows of
     other seconds, and those without an ordinal, keep a null.
@@ -60,9 +60,9 @@ def due_times_stepped(
     num_partitions: int = fixed.COUNTER_PARTITIONS,
     ordinal: str = "ordinal",
 ) -> DataFrame:
-    """Adds ``due``: when ``num_partitions`` counters that began at ``creation_ms`` emit each ordinal.
+    """Adds ``due``: when one of ``num_partitions`` counters emits the row of each ordinal.
 
-    Counter i emits i, i + n, i + 2n and so on, one row per step of ``1000 * n`` ms divided by
+    They began at ``creation_ms``. Counter i emits i, i + n, i + 2n and so on, one row per step of ``1000 * n`` ms divided by
     the rate, whole ms. So the ordinal alone gives the time.
     """
     _check_rate(rows_per_second, num_partitions)

@@ -106,7 +106,8 @@ def first_edits(raw: DataFrame, n: int = 20, ordinal: str = "ordinal") -> DataFr
     head = log_head(raw, ordinal).first()["head"]
     end = 8 * n
     while True:
-        found = edits_head(parse_edits(replay_range(raw, None, min(end, head), ordinal)), n, ordinal)
+        lines = replay_range(raw, None, min(end, head), ordinal)
+        found = edits_head(parse_edits(lines), n, ordinal)
         if end >= head or found.count() == n:
             return found
         end *= 8

@@ -13,7 +13,8 @@ def replay_range(
 ) -> DataFrame:
     """Rows after ``start`` up to and including ``end``; an end left out is open.
 
-    Without bounds that is the whole log, with rows that have no ordinal too. Both bounds are literals, so they reach the scan and row groups outside are skipped.
+    Without bounds that is the whole log, with rows that have no ordinal too. Both bounds are
+    literals, so they reach the scan and row groups outside are skipped.
     """
     if start is not None and end is not None and start > end:
         raise ValueError(f"start {start} is after end {end}")

@@ -195,7 +195,8 @@ def due(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def due_stepped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _utc(due_times_stepped(raw_edits(spark, sf_dir).select("ordinal"), CURVE_START_MS), "due")
+    log = raw_edits(spark, sf_dir).select("ordinal")
+    return _utc(due_times_stepped(log, CURVE_START_MS), "due")
 
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:

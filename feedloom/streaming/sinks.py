@@ -139,7 +139,8 @@ def append_numbered(
         own = f"{path}/batch={batch_id}"
         rows.write.mode("overwrite").parquet(own)
         last = spark.read.schema(rows.schema).parquet(own).agg(F.max("ordinal") + 1)
-        after = last.toDF("next").select(F.coalesce("next", F.lit(first).cast("bigint")).alias("next"))
+        following = F.coalesce("next", F.lit(first).cast("bigint"))
+        after = last.toDF("next").select(following.alias("next"))
         after.write.mode("overwrite").parquet(f"{path}/_next/{batch_id % 2}")
 
     writer = sdf.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
