@@ -36,7 +36,9 @@ EPSILON = 2.1
 _SLACK = 1e-9
 
 
-def usable_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def usable_vectors(
+    vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
+) -> DataFrame:
     """``vec_id`` and ``vector`` of the vectors that take part, one for each id.
 
     Null, empty and zero vectors, those with a component that is null or not finite, and null
@@ -263,7 +265,8 @@ def nearest_neighbours(
                 k,
             )
         types = (pa.int64(), pa.int64(), pa.float64())
-        arrays = [pa.array(x.astype(t.to_pandas_dtype()), t) for x, t in zip(found, types, strict=True)]
+        columns = zip(found, types, strict=True)
+        arrays = [pa.array(x.astype(t.to_pandas_dtype()), t) for x, t in columns]
         return pa.table(arrays, ["query_id", "vec_id", "score"])
 
     pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys))

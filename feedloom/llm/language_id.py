@@ -39,7 +39,9 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x10000)), np.bool_, 0x10000)
 
 
-def _grams(texts: list[str], letters: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+def _grams(
+    texts: list[str], letters: np.ndarray
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Hashed n-grams of all texts, where those of each text start, and whether it has a letter.
 
     Case is dropped and all but letters counts as a blank. A blank before and two after each

@@ -148,9 +148,9 @@ def mix_sources(
     epochs: float = EPOCHS,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``.
+    """One row for each row of ``docs``, with what the mix takes of it.
 
-    ``taken`` counts the words the mix takes of the row, repeats included. It depends on the seed
+    Columns: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``. The last counts the words the mix takes of the row, repeats included. It depends on the seed
     and the rows only. The sources' sums are below their targets by less than a word for each
     document of one bucket. A null text has no words, a null source is a source of its own and
     the last one, rows of a null id share a bucket, and so do repeated rows, each of which is
@@ -195,7 +195,8 @@ def mixed_documents(
     rows = rows.select("row", "size", F.explode(F.concat(full, extra)).alias("words"))
     text = F.col(f"row.{text_col}")
     cut = F.col("words") < F.col("size")
-    first = F.slice(F.regexp_extract_all(text, F.lit(WORD), 0), F.lit(1), F.col("words").cast("int"))
+    every = F.regexp_extract_all(text, F.lit(WORD), 0)
+    first = F.slice(every, F.lit(1), F.col("words").cast("int"))
     rows = rows.withColumn("cut", F.when(cut, F.array_join(first, " ")))
     columns = []
     for c in docs.columns:

@@ -41,8 +41,8 @@ def token_pieces(
     """The pieces of every document: full sequences and a remainder.
 
     ``tokenizer`` is the path of the file on every machine. No token of it crosses ASCII white
-    space, so that words are looked up and each new one is tokenized once in a task; a task forgets its
-    words when they are too many. A null text is empty and has the closing id only.
+    space, so that words are looked up and each new one is tokenized once in a task; a task
+    forgets its words when they are too many. A null text is empty and has the closing id only.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -185,7 +185,8 @@ def column_generation(
         if value <= 1 + GAP:
             break
         along = inverse @ pattern
-        ratios = np.where(along > 1e-9, np.maximum(use, 0) / np.where(along > 1e-9, along, 1), np.inf)
+        used = along > 1e-9
+        ratios = np.where(used, np.maximum(use, 0) / np.where(used, along, 1), np.inf)
         out = int(ratios.argmin())
         if not np.isfinite(ratios[out]):
             break

@@ -101,7 +101,8 @@ def _confirmed(kind: str, match: Column) -> Column:
         return mod_97(match)
     if kind == "ip":
         parts = F.transform(F.split(match, r"\."), lambda p: F.regexp_replace(p, "^0+(?=.)", ""))
-        return F.forall(parts, lambda p: (F.length(p) <= 3) & (F.substring(p, 1, 3).cast("int") <= 255))
+        value = lambda p: F.substring(p, 1, 3).cast("int")
+        return F.forall(parts, lambda p: (F.length(p) <= 3) & (value(p) <= 255))
     few, many = (12, 19) if kind == "card" else (9, 15)
     digits = _digits(match)
     count = F.length(digits)
@@ -110,7 +111,7 @@ def _confirmed(kind: str, match: Column) -> Column:
 
 
 def spans(kind: str, text: Column) -> Column:
-    """The confirmed spans of a kind as an array of ``start``, ``rank``, ``end``, ``kind``, ``score``.
+    """The confirmed spans of a kind, an array of structs as in ``_SPANS``.
 
     Places count code points, the end is exclusive. Of overlapping matches of a kind the leftmost
     is taken, and one that is not confirmed is dropped as a whole.
@@ -187,7 +188,9 @@ def _listed(found: Column) -> Column:
     return F.array_join(
         F.transform(
             found,
-            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+            lambda s: F.concat_ws(
+                ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")
+            ),
         ),
         ",",
     )

@@ -223,7 +223,7 @@ def _choose_landmarks(candidates: list[str]) -> list[str]:
 
 
 def train(sample: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Landmarks and weights (the intercept last) from a bounded sample: ``id``, ``text``, ``toxic``.
+    """Landmarks and weights, the intercept last, from ``id``, ``text``, ``toxic`` of a sample.
 
     Spark counts in how many texts of each kind a word is. The words whose share in toxic texts
     is furthest above that in others are candidates; a few hundred reach the driver, and so do
@@ -295,7 +295,8 @@ def labelled_sample(
     several labels the larger counts; null labels and ids are left out.
     """
     labels = labels.where(f"toxic in (0, 1) and {id_col} is not null")
-    labels = labels.groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    larger = F.max("toxic").cast("int").alias("toxic")
+    labels = labels.groupBy(F.col(id_col).alias("id")).agg(larger)
     labels = labels.where(F.col("id").isNotNull())
     total = labels.count()
     if total > rows:

@@ -81,12 +81,14 @@ def _entropy(text: Column) -> Column:
         F.array_distinct(F.split(text, "")),
         lambda c: (size - F.length(F.replace(text, c, F.lit("")))) / size,
     )
-    bits = F.aggregate(parts, F.lit(0.0), lambda s, p: s - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
+    bits = F.aggregate(
+        parts, F.lit(0.0), lambda s, p: s - F.when(p > 0, p * F.log2(p)).otherwise(0.0)
+    )
     return F.when(size > 0, bits).otherwise(0.0)
 
 
 def lexical_features(urls: DataFrame) -> DataFrame:
-    """Adds the features of ``url``, ``host`` and ``path``, and ``suffix``, the hash of the last label."""
+    """Adds the features of ``url``, ``host`` and ``path``; ``suffix`` is the last label, hashed."""
     url = F.coalesce(F.col("url"), F.lit(""))
     size = F.greatest(F.length(url), F.lit(1))
     last = F.substring_index("host", ".", -1)
