@@ -1,0 +1,214 @@
+"""Personal data, mixing, packing and the pipeline."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_data import LONG, no_documents, odd_documents
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from feedloom.llm import mixing, packing, pii
+from feedloom.llm.queries import TOKENIZER
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        total += d if i % 2 == 0 else sum(divmod(2 * d, 10))
+    return total % 10 == 0
+
+
+def base_spans(text):
+    checks = {
+        "email": lambda m, d: True,
+        "ip": lambda m, d: all(int(p) <= 255 for p in m.split(".")),
+        "card": lambda m, d: 12 <= len(d) <= 19 and luhn(d),
+        "phone": lambda m, d: 9 <= len(d) <= 15,
+    }
+    found = []
+    for rank, kind in enumerate(pii.BASE_KINDS):
+        for m in re.finditer(pii.PLAIN_PATTERNS[kind], text):
+            if checks[kind](m[0], re.sub("[^0-9]", "", m[0])):
+                found.append((m.start(), rank, kind, m.end()))
+    return [f"{k}:{a}:{b}" for a, _, k, b in sorted(found)]
+
+
+def test_spans_are_those_of_the_plain_patterns(spark):
+    rng = random.Random(2)
+    parts = ["a@b.c", "@", ".", "-", " ", "+", "(", ")", "1", "23", "4111111111111111", "0",
+             "é", "😀", "255", "256", "00", "x.y+z@q-r.s.t", "10.0.0.1", "+49 30 1234567", "%"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(1500)]
+    texts += ["1.1.1.1 " * 1000, "a" * 2000, "1" * 2000, "+1" * 1000, "a@" * 1000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in pii.personal_data(docs).collect():
+        expected = base_spans(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(expected).encode()).hexdigest()
+        counts = Counter(s.split(":")[0] for s in expected)
+        assert all(r[f"n_{k}"] == counts[k] for k in pii.BASE_KINDS)
+        assert [s for s in r["spans"].split(",") if s and s[:4] != "iban"] == expected
+
+
+def test_time_is_linear_in_the_text(spark):
+    """The plain patterns would take minutes for each of these."""
+    texts = ["a" * 1_000_000, "1" * 1_000_000, "+1" * 200_000, "a@" * 200_000, "1." * 200_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert len(pii.personal_data(docs).collect()) == 5
+
+
+def test_checksums_and_context(spark):
+    texts = [
+        "IBAN DE89 3704 0044 0532 0130 00",
+        "IBAN DE88 3704 0044 0532 0130 00",
+        "my card 4111 1111 1111 1111",
+        "4111 1111 1111 1112",
+        "4111 1111 1111 1111",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in pii.personal_data(docs).collect()}
+    assert [got[i]["n_iban"] for i in range(5)] == [1, 0, 0, 0, 0]
+    assert [got[i]["n_card"] for i in range(5)] == [0, 0, 1, 0, 1]
+    assert "iban:5:32" in got[0]["spans"] and got[2]["score"] > got[4]["score"] > got[3]["score"]
+
+
+def test_personal_data_odd_rows(spark):
+    docs = odd_documents(spark)
+    got = pii.personal_data(docs).collect()
+    assert len(got) == docs.count() and {r["spans"] for r in got} == {""}
+    assert pii.personal_data(no_documents(spark)).count() == 0
+
+
+def targets(sizes, weights, share, epochs):
+    left, open_ones, found = share * sum(sizes), list(range(len(sizes))), {}
+    while open_ones:
+        level = left / sum(weights[i] for i in open_ones)
+        over = [i for i in open_ones if weights[i] * level > epochs * sizes[i]]
+        for i in over or open_ones:
+            found[i] = epochs * sizes[i] if over else weights[i] * level
+        left -= sum(found[i] for i in over)
+        open_ones = [i for i in open_ones if over and i not in over]
+    return [found[i] for i in range(len(sizes))]
+
+
+def test_mix_targets(spark):
+    rng = random.Random(4)
+    names = ["b", "a", "é", "Z", "hot", None]
+    data = [(i, " ".join("w" * rng.randrange(30)), rng.choice(names)) for i in range(900)]
+    data += [(i, "one two three", "hot") for i in range(1000, 1500)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    order = sorted({s for *_, s in data if s}, key=lambda s: s.encode()) + [None]
+    size = Counter()
+    for _, t, s in data:
+        size[s] += len(t.split())
+    expected = targets([size[s] for s in order], [5, 2, 1] * 2, 1.5, 2)
+    got = {r["doc_id"]: r for r in mixing.mix_sources(docs).collect()}
+    assert len(got) == len(data)
+    taken = Counter()
+    for i, t, s in data:
+        r = got[i]
+        assert (r["size"], r["source_size"]) == (len(t.split()), size[s])
+        assert abs(r["target"] - expected[order.index(s)]) < 1e-6 * r["source_size"]
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[s] += r["taken"]
+    assert all(abs(taken[s] - t) <= 10 for s, t in zip(order, expected, strict=True))
+    again = {r["doc_id"]: r["taken"] for r in mixing.mix_sources(docs.repartition(3)).collect()}
+    assert again == {i: r["taken"] for i, r in got.items()}
+    mixed = mixing.mixed_documents(docs).collect()
+    words = Counter()
+    for r in mixed:
+        words[r["doc_id"]] += len(r["text"].split())
+    assert all(words[i] == r["taken"] for i, r in got.items())
+
+
+def test_mix_odd_rows(spark):
+    docs = odd_documents(spark)
+    got = mixing.mix_sources(docs).collect()
+    assert len(got) == docs.count() and all(r["taken"] <= 2 * r["size"] for r in got)
+    assert mixing.mixed_documents(docs).columns == docs.columns
+    assert mixing.mix_sources(no_documents(spark)).count() == 0
+    assert mixing.mixed_documents(no_documents(spark)).count() == 0
+
+
+def test_column_generation():
+    rng = np.random.default_rng(1)
+    for sizes in ([3, 5, 7, 11], list(range(1, 40)), [25, 26, 50], [50]):
+        sizes = np.array(sizes)
+        demand = rng.integers(1, 400, len(sizes))
+        plan = packing.packing_plan(sizes, demand, 50)
+        assert all((counts * sizes).sum() <= 50 for _, counts in plan)
+        assert (sum(times * counts for times, counts in plan) == demand).all()
+        patterns, use = packing.column_generation(sizes, demand.astype(float), 50)
+        assert np.allclose(patterns @ use, demand)
+        assert sum(t for t, _ in plan) <= use.sum() + len(sizes)
+    assert packing.packing_plan(np.zeros(0, int), np.zeros(0, int), 50) == []
+
+
+def check_pieces(pieces, texts, encoder):
+    of_doc, of_sequence = {}, {}
+    for r in pieces:
+        of_doc.setdefault(r["doc_id"], []).append(r)
+        of_sequence.setdefault(r["sequence_id"], []).append(r)
+    for rows in of_sequence.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= 2048
+    assert sorted(of_sequence) == list(range(len(of_sequence)))
+    for i, text in texts.items():
+        ids = encoder.encode(text or "", add_special_tokens=False).ids + [1]
+        at = 0
+        for r in sorted(of_doc[i], key=lambda r: r["start"]):
+            own = np.array(ids[at : at + r["length"]], "<u4").tobytes()
+            assert (r["start"], r["ids_crc32"]) == (at, zlib.crc32(own))
+            assert r["doc_tokens"] == len(ids)
+            at += r["length"]
+        assert at == len(ids)
+
+
+def test_packing_round_trip(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    texts |= {10_000: "Ünïcode ΣΑΣ e\u0301 <|endoftext|> it's 12½ 🙂!?\u00a0x", 10_001: LONG}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    pieces = packing.pack(docs.repartition(3), TOKENIZER).collect()
+    check_pieces(pieces, texts, Tokenizer.from_file(TOKENIZER))
+    sequences = len({r["sequence_id"] for r in pieces})
+    assert sum(r["length"] for r in pieces) > 0.9 * 2048 * sequences
+
+
+def test_packing_odd_rows(spark):
+    docs = odd_documents(spark)
+    pieces = packing.pack(docs, TOKENIZER).collect()
+    totals = Counter()
+    for r in pieces:
+        totals[r["doc_id"]] += r["length"]
+    assert totals[3] == totals[4] == totals[5] == 1 and totals[8] == 2 * totals[7]
+    assert packing.pack(no_documents(spark), TOKENIZER).count() == 0
+
+
+@pytest.mark.parametrize("table", ["given", "odd", "none"])
+def test_pipeline(spark, tmp_path, table):
+    given = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = {"given": given, "odd": odd_documents(spark), "none": no_documents(spark)}[table]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    step = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        result = stage(spark, step, str(tmp_path))
+        result.write.parquet(f"{tmp_path}/{name}")
+        if name != "pack":
+            assert result.columns == step.columns
+        step = spark.read.parquet(f"{tmp_path}/{name}")
+    whole = corpus_pipeline.run(spark, str(tmp_path))
+    key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    a, b = (Counter(map(tuple, d.select(*key).collect())) for d in (step, whole))
+    assert a == b and bool(a) == (table != "none")
+    mixed = spark.read.parquet(f"{tmp_path}/mix")
+    assert step.select("sequence_id", "offset").distinct().count() == step.count()
+    assert step.where("start = 0").count() == mixed.count()
