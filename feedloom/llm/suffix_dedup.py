@@ -99,7 +99,8 @@ def anchors_of(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """Anchors of all texts, from ``key`` and ``text``.
 
     ``key`` names the text; ``anchor`` is the hash of the anchor's bytes and ``leaf`` that of its
-    context with the anchor's place in it; ``place``, ``first`` and ``last`` are places in the text.
+    context with the anchor's place in it, ``back``. ``span`` is the number of its strings less
+    one. ``places`` are those of the anchor in this text; a text may repeat itself many times.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,24 +109,31 @@ def anchors_of(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 data, starts = utf8(part.column("text"))
                 text, anchor, place, first, last = find_anchors(data, starts, length, gram)
                 raw = data.tobytes()
-                leaf = np.array(
-                    [
-                        xxhash.xxh3_64_intdigest(raw[a : b + length], p - a)
-                        for p, a, b in zip(place.tolist(), first.tolist(), last.tolist(), strict=True)
-                    ],
-                    np.uint64,
-                ).view(np.int64)
-                base = starts[text] if len(text) else text
-                numbers = [(x - base).astype(np.int32) for x in (place, first, last)]
+                runs = zip(place.tolist(), first.tolist(), last.tolist(), strict=True)
+                digest = xxhash.xxh3_64_intdigest
+                leaf = [digest(raw[a : b + length], p - a) for p, a, b in runs]
+                leaf = np.array(leaf, np.uint64).view(np.int64)
+                order = np.lexsort((place, leaf, anchor, text))
+                text, anchor, leaf, place, first, last = (
+                    x[order] for x in (text, anchor, leaf, place, first, last)
+                )
+                same = (np.diff(text) == 0) & (np.diff(anchor) == 0) & (np.diff(leaf) == 0)
+                heads = np.flatnonzero(np.append(True, ~same))[: len(text)]
+                offsets = np.append(heads, len(text)).astype(np.int32)
+                places = (place - starts[text]).astype(np.int32) if len(text) else place
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("key").take(pa.array(text, pa.int64())),
-                        *map(pa.array, (anchor, leaf, *numbers)),
+                        part.column("key").take(pa.array(text[heads], pa.int64())),
+                        pa.array(anchor[heads]),
+                        pa.array(leaf[heads]),
+                        pa.array((place - first)[heads], pa.int32()),
+                        pa.array((last - first)[heads], pa.int32()),
+                        pa.ListArray.from_arrays(offsets, pa.array(places, pa.int32())),
                     ],
-                    ["key", "anchor", "leaf", "place", "first", "last"],
+                    ["key", "anchor", "leaf", "back", "span", "places"],
                 )
 
-    schema = "key binary, anchor bigint, leaf bigint, place int, first int, last int"
+    schema = "key binary, anchor bigint, leaf bigint, back int, span int, places array<int>"
     return texts.select("key", "text").mapInArrow(find, schema)
 
 
@@ -235,18 +243,21 @@ def covered_texts(
     """
     anchors = stored(anchors_of(texts, length, gram), "anchors")
     leaves = anchors.groupBy("anchor", "leaf").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct("key", "place", "first", "last")).alias("of"),
+        F.sum(F.size("places")).alias("n"),
+        F.first("back").alias("back"),
+        F.first("span").alias("span"),
+        F.min(F.struct("key", F.col("places")[0].alias("place"))).alias("of"),
     )
     counts = leaves.groupBy("anchor").agg(
         F.sum("n").alias("occurrences"), F.count(F.lit(1)).alias("leaves")
     )
     repeated = leaves.join(counts.where("occurrences > 1"), "anchor")
     repeated = stored(repeated, "repeated-anchors")
-    back = F.col("of.place") - F.col("of.first")
-    span = F.col("of.last") - F.col("of.first")
     wholly = repeated.where("n > 1").select(
-        "anchor", "leaf", (back - span).alias("least"), back.alias("most")
+        "anchor",
+        "leaf",
+        (F.col("back") - F.col("span")).alias("least"),
+        F.col("back").alias("most"),
     )
 
     wanted = repeated.where("leaves > 1").groupBy(F.col("of.key").alias("key"))
@@ -256,8 +267,8 @@ def covered_texts(
                 "anchor",
                 "leaf",
                 "of.place",
-                "of.first",
-                "of.last",
+                "back",
+                "span",
                 (F.col("leaves") > group).alias("many"),
             )
         ).alias("wanted")
@@ -275,20 +286,17 @@ def covered_texts(
                     strict=True,
                 )
                 for key, text, items in rows:
-                    if key == done:  # a copy of the text before
+                    if key == done or items.as_py() is None:  # done: a copy of the text before
                         continue
                     done = key
                     for x in items.as_py():
-                        own = {
-                            "anchor": x["anchor"],
-                            "leaf": x["leaf"],
-                            "back": x["place"] - x["first"],
-                            "span": x["last"] - x["first"],
-                        }
+                        first = x["place"] - x["back"]
+                        last = first + x["span"]
+                        own = {name: x[name] for name in ("anchor", "leaf", "back", "span")}
                         if not x["many"]:
-                            out.append(own | {"context": text[x["first"] : x["last"] + length]})
+                            out.append(own | {"context": text[first : last + length]})
                             continue
-                        for at in range(x["first"], x["last"] + 1):
+                        for at in range(first, last + 1):
                             digest = xxhash.xxh3_128_digest(text[at : at + length])
                             out.append(own | {"string": digest, "most": x["place"] - at})
                         if len(out) > 50_000:
@@ -307,9 +315,11 @@ def covered_texts(
             ("most", pa.int32()),
         ]
     )
-    schema = "anchor bigint, leaf bigint, context binary, back int, span int, string binary, most int"
-    # all columns of the texts go along, so that a later join by key can use the same shuffle
-    contexts = texts.join(wanted, "key").mapInArrow(extract, schema)
+    schema = (
+        "anchor bigint, leaf bigint, context binary, back int, span int, string binary, most int"
+    )
+    # the same columns and kind of join as in ``without_repeats``: both use one shuffle of texts
+    contexts = texts.join(wanted, "key", "left").mapInArrow(extract, schema)
     found = wholly.unionByName(repeats_of(contexts.where("context is not null"), length))
     if not repeated.where(F.col("leaves") > group).isEmpty():
         strings = contexts.where("string is not null")
@@ -319,7 +329,11 @@ def covered_texts(
         found = found.unionByName(
             counted.select("anchor", "leaf", F.col("most").alias("least"), "most")
         )
-    runs = anchors.join(found, ["anchor", "leaf"]).select(
+    places = anchors.select("key", "anchor", "leaf", "places")
+    runs = places.join(found, ["anchor", "leaf"]).select(
+        "key", F.explode("places").alias("place"), "least", "most"
+    )
+    runs = runs.select(
         "key",
         F.struct(
             (F.col("place") - F.col("most")).alias("first"),
@@ -345,7 +359,7 @@ def without_repeats(
     gram: int = GRAM,
     group: int = GROUP,
 ) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes left) of every row.
+    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the bytes left, of each row.
 
     Removed is each byte of a text that is covered by ``length`` bytes which also start anywhere
     else, in any text or the same one; overlaps count. A null text is empty. Each row is a text
