@@ -190,22 +190,38 @@ def repeat_groups(
 
 
 def _repeats(group: list[dict], length: int) -> Iterator[tuple[int, int, int, int]]:
-    """Anchor, leaf and the places, back from the anchor, of strings that repeat: least and most."""
+    """Anchor, leaf and the places, back from the anchor, of strings that repeat: least and most.
+
+    A leaf is in groups within groups; what they say of it is put together into as few runs of
+    places as there are. A leaf that occurs ``twice`` repeats as a whole, which is known.
+    """
+    runs: list[list[tuple[int, int]]] = [[] for _ in group]
     before = [g["context"][: g["back"]][::-1] for g in group]
     after = [g["context"][g["back"] :] for g in group]
     for left, right, members in repeat_groups(before, after, length):
         for i in members:
             g = group[i]
             least, most = max(length - right, g["back"] - g["span"]), min(left, g["back"])
-            if least <= most:
-                yield g["anchor"], g["leaf"], least, most
+            if least <= most and not g["twice"]:
+                runs[i].append((least, most))
+    for g, found in zip(group, runs, strict=True):
+        end = -1
+        for a, b in sorted(set(found)):
+            if end >= 0 and a <= end + 1:
+                end = max(end, b)
+                continue
+            if end >= 0:
+                yield g["anchor"], g["leaf"], begin, end
+            begin, end = a, b
+        if end >= 0:
+            yield g["anchor"], g["leaf"], begin, end
 
 
 def repeats_of(contexts: DataFrame, length: int) -> DataFrame:
     """Which strings of each leaf repeat, from the leaves of anchors that have several.
 
-    ``contexts``: ``anchor``, ``leaf``, ``context``, ``back`` (the anchor's place in the context)
-    and ``span`` (strings in it less one). All leaves of an anchor lie in one partition; a batch
+    ``contexts``: ``anchor``, ``leaf``, ``context``, ``back`` (the anchor's place in the context),
+    ``span`` (strings in it less one) and ``twice`` (the leaf occurs again). All leaves of an anchor lie in one partition; a batch
     holds whole anchors only, of ``GROUP`` leaves at most.
     """
 
@@ -223,11 +239,11 @@ def repeats_of(contexts: DataFrame, length: int) -> DataFrame:
             found: list[tuple] = []
             for row in batch.to_pylist():
                 if row["anchor"] != anchor:
-                    found += set(_repeats(list(group.values()), length))
+                    found += _repeats(list(group.values()), length)
                     group, anchor = {}, row["anchor"]
                 group[row["leaf"]] = row  # copies of a text give their leaves again
             yield results(found)
-        yield results(list(set(_repeats(list(group.values()), length))))
+        yield results(list(_repeats(list(group.values()), length)))
 
     sorted_rows = contexts.repartition("anchor").sortWithinPartitions("anchor")
     return sorted_rows.mapInArrow(search, "anchor bigint, leaf bigint, least int, most int")
@@ -269,11 +285,14 @@ def covered_texts(
                 "of.place",
                 "back",
                 "span",
+                (F.col("n") > 1).alias("twice"),
                 (F.col("leaves") > group).alias("many"),
             )
         ).alias("wanted")
     )
 
+    names = ("anchor", "leaf", "back", "span", "twice")
+
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = None
         for batch in batches:
@@ -286,13 +305,13 @@ def covered_texts(
                     strict=True,
                 )
                 for key, text, items in rows:
-                    if key == done or items.as_py() is None:  # done: a copy of the text before
+                    if key == done:  # a copy of the text before
                         continue
                     done = key
                     for x in items.as_py():
                         first = x["place"] - x["back"]
                         last = first + x["span"]
-                        own = {name: x[name] for name in ("anchor", "leaf", "back", "span")}
+                        own = {name: x[name] for name in names}
                         if not x["many"]:
                             out.append(own | {"context": text[first : last + length]})
                             continue
@@ -311,15 +330,17 @@ def covered_texts(
             ("context", pa.binary()),
             ("back", pa.int32()),
             ("span", pa.int32()),
+            ("twice", pa.bool_()),
             ("string", pa.binary()),
             ("most", pa.int32()),
         ]
     )
     schema = (
-        "anchor bigint, leaf bigint, context binary, back int, span int, string binary, most int"
+        "anchor bigint, leaf bigint, context binary, back int, span int, twice boolean, "
+        "string binary, most int"
     )
-    # the same columns and kind of join as in ``without_repeats``: both use one shuffle of texts
-    contexts = texts.join(wanted, "key", "left").mapInArrow(extract, schema)
+    # written once, as up to three consumers read it
+    contexts = stored(texts.join(wanted, "key").mapInArrow(extract, schema), "contexts")
     found = wholly.unionByName(repeats_of(contexts.where("context is not null"), length))
     if not repeated.where(F.col("leaves") > group).isEmpty():
         strings = contexts.where("string is not null")
