@@ -10,7 +10,7 @@ posted instead under every value within one bit of theirs: near fingerprints mee
 that meet are near, and at most 65 meet in one place.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -32,14 +32,14 @@ LIST = 32
 _PORTION = 1 << 20
 
 
-def _shingle_hashes(text: bytes) -> list[int]:
+def _shingle_hashes(text: bytes, shingle: int = SHINGLE) -> list[int]:
     words = text.lower().split()  # both know ASCII only
     if not words:
         return []
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.append(0, ends[:-1] + 1)
-    last = max(len(words) - SHINGLE + 1, 1)
+    last = max(len(words) - shingle + 1, 1)
     first_ends = ends[-last:]
     digest = xxhash.xxh64_intdigest
     return [
@@ -160,17 +160,40 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    more: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """The document with the smallest id of each component, with the columns it came with.
 
-    Of several rows with that id, the one whose text has the smallest hash stays. Rows with a
-    null id stay, as nothing is linked to them.
+    ``more`` gives further links ``a``, ``b`` between rows ``node``, ``text``, which join the
+    components of ``linked``. Of several rows with that id, the one whose text has the smallest
+    hash stays. Rows with a null id stay, as nothing is linked to them.
     """
-    found = linked(docs, id_col, text_col)
-    stay = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(stay, docs[id_col] == stay["doc_id"], "left_semi")
+    node = F.col(id_col)
+    rows = docs.select(node.alias("node"), F.col(text_col).alias("text"))
+    found = linked(rows, "node", "text").where(F.col("doc_id").isNotNull())
+    found = found.select("doc_id", "component_id").distinct()
+    if more is not None:
+        found = _joined(stored(found, "linked"), more(rows))
+    stay = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), node.alias("node"))
+    named = keyed.join(stay, F.col("node") == stay["doc_id"], "left_semi")
     rank = F.row_number().over(
-        Window.partitionBy(F.col(id_col)).orderBy(F.xxhash64(F.col(text_col)))
+        Window.partitionBy("node").orderBy(F.xxhash64(F.col(f"row.{text_col}")))
     )
-    named = named.select(F.struct(*docs.columns).alias("row"), rank.alias("rank")).where("rank = 1")
+    named = named.withColumn("rank", rank).where("rank = 1")
     return named.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
+
+
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` with components joined where a link runs between two of them."""
+    of_a = found.select(F.col("doc_id").alias("a"), F.col("component_id").alias("u"))
+    of_b = found.select(F.col("doc_id").alias("b"), F.col("component_id").alias("v"))
+    between = components(links.join(of_a, "a").join(of_b, "b").select("u", "v"))
+    between = between.select(F.col("node").alias("component_id"), "component")
+    return found.join(between, "component_id", "left").select(
+        "doc_id", F.coalesce("component", "component_id").alias("component_id")
+    )

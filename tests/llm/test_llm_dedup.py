@@ -9,7 +9,9 @@ import pytest
 import xxhash
 from llm_data import no_documents, odd_documents
 
+import corpus_pipeline
 from feedloom.llm import exact_dedup as exact
+from feedloom.llm import jaccard as similar
 from feedloom.llm import simhash_dedup as near
 from feedloom.llm import suffix_dedup as suffix
 from feedloom.llm.graph import components
@@ -137,6 +139,54 @@ def test_an_id_with_two_texts_is_one_document(spark):
     assert {r["component_id"] for r in near.simhash_dedup(docs).collect()} == {2}
 
 
+def jaccard(a, b):
+    a, b = ({tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("most", [1, 8])
+def test_near_stage_links_similar_texts(spark, monkeypatch, most):
+    """Planted copies of 0.8 and more go, others stay; with ``LIST`` = 1 all lists are long."""
+    monkeypatch.setattr(similar, "LIST", most)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(800)]
+    data, expected = {}, set()
+    for i in range(0, 600, 3):
+        base = [rng.choice(words) for _ in range(rng.choice([100, 200, 500]))]
+        data[i] = base
+        for j in (i + 1, i + 2):
+            copy = list(base)
+            for _ in range(rng.randrange(1, len(base) // 20)):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            data[j] = copy
+            if jaccard(base, copy) >= 0.8:
+                expected.add((j, i))
+    rows = [(i, " ".join(t)) for i, t in data.items()]
+    docs = spark.createDataFrame(rows, "node bigint, text string")
+    links = {(r["a"], r["b"]) for r in similar.similar_links(docs).collect()}
+    assert all(jaccard(data[a], data[b]) >= 0.8 for a, b in links)
+    assert len(links & expected) / len(expected) > 0.99
+    docs = docs.withColumnRenamed("node", "doc_id")
+    stay = {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()}
+    gone = {j for j, _ in links & expected}
+    assert not stay & gone and {i for i in data if i % 3 == 0} <= stay
+    assert len(gone) > 150
+
+
+def test_a_large_group_of_similar_texts(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(800)]
+    base = [rng.choice(words) for _ in range(300)]
+    rows = []
+    for i in range(200):
+        text = list(base)
+        for _ in range(2):
+            text[rng.randrange(300)] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()] == [0]
+
+
 def without_repeats(texts, n):
     count = Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1))
     for t in texts:
