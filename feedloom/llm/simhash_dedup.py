@@ -169,10 +169,12 @@ def one_of_each(
     """The document with the smallest id of each component, with the columns it came with.
 
     ``more`` gives further links ``a``, ``b`` between rows ``node``, ``text``, which join the
-    components of ``linked``. Of several rows with that id, the one whose text has the smallest
-    hash stays. Rows with a null id stay, as nothing is linked to them.
+    components of ``linked``. Rows with a null id stay, as nothing is linked to them. Rows of one
+    id with different texts are linked by their texts only; of rows with one id and text one stays.
     """
-    node = F.col(id_col)
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    node = F.struct(F.col(id_col).alias("id"), digest.alias("digest"))
+    node = F.when(F.col(id_col).isNotNull(), node)
     rows = docs.select(node.alias("node"), F.col(text_col).alias("text"))
     found = linked(rows, "node", "text").where(F.col("doc_id").isNotNull())
     found = found.select("doc_id", "component_id").distinct()
@@ -181,9 +183,7 @@ def one_of_each(
     stay = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
     keyed = docs.select(F.struct(*docs.columns).alias("row"), node.alias("node"))
     named = keyed.join(stay, F.col("node") == stay["doc_id"], "left_semi")
-    rank = F.row_number().over(
-        Window.partitionBy("node").orderBy(F.xxhash64(F.col(f"row.{text_col}")))
-    )
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("row")))
     named = named.withColumn("rank", rank).where("rank = 1")
     return named.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
 

@@ -139,6 +139,15 @@ def test_an_id_with_two_texts_is_one_document(spark):
     assert {r["component_id"] for r in near.simhash_dedup(docs).collect()} == {2}
 
 
+def test_near_stage_keeps_unrelated_texts_of_one_id(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(50)) for c in "abc")
+    data = [(5, one), (2, one), (5, two), (9, two), (5, three), (5, three), (None, one)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    stay = corpus_pipeline.near_stage(spark, docs, "").collect()
+    expected = {(2, one): 1, (5, two): 1, (5, three): 1, (None, one): 1}
+    assert Counter(map(tuple, stay)) == expected
+
+
 def jaccard(a, b):
     a, b = ({tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in (a, b))
     return len(a & b) / len(a | b)
