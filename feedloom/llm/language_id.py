@@ -23,6 +23,8 @@ LENGTHS = (2, 3)
 BUCKETS = 1 << 15
 SMOOTHING = 0.1
 UNDETERMINED = "und"
+#: The only language where nothing was learned.
+UNNAMED = "any"
 _PORTION = 1 << 20
 
 
@@ -211,9 +213,14 @@ def determined(
     lang_col: str = "lang",
     rows: int = TRAIN_ROWS,
 ) -> DataFrame:
-    """The rows of ``docs`` whose text is in some language, with the columns they came with."""
+    """The rows of ``docs`` whose text is in some language, with the columns they came with.
+
+    Where nothing was learned, as no row has a label, these are the texts with a letter.
+    """
     fold = id_bucket(F.col(id_col), 3)
     model = train(docs.where(fold.isin(0, 2)), text_col, lang_col, id_col, rows)
+    if not model.languages:
+        model = _model(pd.DataFrame({"lang": [UNNAMED], "bucket": [-1], "n": [1]}))
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
     judged = identify(whole, model, ["row"])
     return judged.where(F.col("lang_pred") != UNDETERMINED).select("row.*")

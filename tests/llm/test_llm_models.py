@@ -6,7 +6,9 @@ import zlib
 import numpy as np
 import pytest
 from llm_data import no_documents, odd_documents
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from feedloom.llm import ann, language_id, toxicity, url_filter
 
 SF = "/root/testdata/sf0.01"
@@ -47,6 +49,16 @@ def test_language_odd_rows(spark):
     assert {r["lang_pred"] for r in language_id.language_id(nothing).collect()} == {"und"}
 
 
+def test_language_stage_keeps_texts_without_labels(spark, tmp_path):
+    docs = odd_documents(spark)
+    docs = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language_stage(spark, docs, "")
+    assert {r["doc_id"] for r in kept.collect()} == {1, 2, 6, 7, 8, 10, None}
+    assert kept.where("doc_id is null").count() == 2 and kept.columns == docs.columns
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
 def auc(rows):
     p, y = np.array([r["score"] for r in rows]), np.array([r["toxic"] for r in rows])
     return (p[y == 1][:, None] > p[y == 0]).mean() + (p[y == 1][:, None] == p[y == 0]).mean() / 2
