@@ -11,13 +11,45 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Lengths of IBANs by country.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+#: An IBAN of these has its country's length, so that it ends before the next word.
+_LISTED = "(?:{})(?![A-Za-z0-9])".format(
+    "|".join(
+        rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{length - 4}}}"
+        for length, codes in IBAN_LENGTHS.items()
+    )
+)
+_CODES = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+
 #: Kinds in their order, and their plain patterns. The last is the method's own.
 PLAIN_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    # other countries: as long as it goes, up to a listed one
+    "iban": rf"(?<![A-Za-z0-9])(?:{_LISTED}|(?!{_CODES})[A-Z]{{2}}[0-9]{{2}}"
+    rf"(?:\x20?(?!(?<![A-Za-z0-9]){_LISTED})[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))",
 }
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: Words that make a kind likelier when they stand close before it.

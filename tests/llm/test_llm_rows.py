@@ -77,6 +77,24 @@ def test_checksums_and_context(spark):
     assert "iban:5:32" in got[0]["spans"] and got[2]["score"] > got[4]["score"] > got[3]["score"]
 
 
+def test_an_iban_ends_with_its_length(spark):
+    iban, short = "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"
+    texts = [
+        f"{iban} BIC COBADEFFXXX",
+        "DE89370400440532013000 EUR 100",
+        f"{iban} 100 EUR",
+        f"{iban} {short} 5",
+        f"AB12 {iban} X",
+        f"{iban}X",
+        "XX57 1234 5678 9012 345",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    got = [",".join(s for s in got[i].split(",") if s[:4] == "iban") for i in range(len(texts))]
+    assert got[:4] == ["iban:0:27", "iban:0:22", "iban:0:27", "iban:0:27,iban:28:46"]
+    assert got[4:] == ["iban:5:32", "", "iban:0:23"]
+
+
 def test_personal_data_odd_rows(spark):
     docs = odd_documents(spark)
     got = pii.personal_data(docs).collect()
