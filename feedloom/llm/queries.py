@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.ann import nearest_neighbours
+from feedloom.llm.clustering import clusters
 from feedloom.llm.common import table
 from feedloom.llm.exact_dedup import exact_dedup
 from feedloom.llm.language_id import language_id
@@ -14,8 +15,10 @@ from feedloom.llm.packing import pack
 from feedloom.llm.pii import personal_data
 from feedloom.llm.simhash_dedup import simhash_dedup
 from feedloom.llm.suffix_dedup import suffix_dedup
+from feedloom.llm.topk_search import top_k
 from feedloom.llm.toxicity import toxicity
 from feedloom.llm.url_filter import url_filter
+from feedloom.llm.whitening import whiten
 
 #: Where the vocabulary file lies on every machine.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -62,6 +65,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_mix_sources": op2_mix_sources,
@@ -73,4 +88,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_clustering": op12_clustering,
+    "op13_topk_search": op13_topk_search,
 }
