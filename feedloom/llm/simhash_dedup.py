@@ -170,22 +170,21 @@ def one_of_each(
 
     ``more`` gives further links ``a``, ``b`` between rows ``node``, ``text``, which join the
     components of ``linked``. Rows with a null id stay, as nothing is linked to them. Rows of one
-    id with different texts are linked by their texts only; of rows with one id and text one stays.
+    id are linked by their texts only; of rows with one id and near texts one stays.
     """
-    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    node = F.struct(F.col(id_col).alias("id"), digest.alias("digest"))
-    node = F.when(F.col(id_col).isNotNull(), node)
-    rows = docs.select(node.alias("node"), F.col(text_col).alias("text"))
-    found = linked(rows, "node", "text").where(F.col("doc_id").isNotNull())
-    found = found.select("doc_id", "component_id").distinct()
+    row = F.struct(*docs.columns).alias("row")
+    numbered = stored(docs.select(row, F.monotonically_increasing_id().alias("node")), "numbered")
+    row_id = F.col("row").getField(id_col)
+    named = numbered.where(row_id.isNotNull())
+    rows = named.select("node", F.col("row").getField(text_col).alias("text"))
+    found = linked(rows, "node", "text").select("doc_id", "component_id")
     if more is not None:
         found = _joined(stored(found, "linked"), more(rows))
-    stay = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), node.alias("node"))
-    named = keyed.join(stay, F.col("node") == stay["doc_id"], "left_semi")
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("row")))
-    named = named.withColumn("rank", rank).where("rank = 1")
-    return named.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
+    ids = named.select(F.col("node").alias("doc_id"), row_id.alias("id"))
+    first = F.min(F.struct("id", F.col("doc_id").alias("node"))).alias("first")
+    stay = found.join(ids, "doc_id").groupBy("component_id").agg(first).select("first.node")
+    stayed = numbered.join(stay, "node", "left_semi").select("row.*")
+    return stayed.unionByName(numbered.where(row_id.isNull()).select("row.*"))
 
 
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:

@@ -196,6 +196,79 @@ def test_a_large_group_of_similar_texts(spark):
     assert [r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()] == [0]
 
 
+def templates(n, words_changed, seed):
+    """Texts made from one by changing so many words in each."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(words) for _ in range(500)]
+    found = {}
+    for i in range(n):
+        found[i] = list(base)
+        for at in rng.sample(range(500), words_changed):
+            found[i][at] = f"x{rng.randrange(10**9)}"
+    return found
+
+
+def exact_components(data, linked):
+    found = {}
+    for i in sorted(data):
+        todo = [] if i in found else [i]
+        while todo:
+            j = todo.pop()
+            found[j] = i
+            todo += [k for k in data if k not in found and linked(data[j], data[k])]
+    return found
+
+
+@pytest.mark.parametrize("most, block", [(1, 256), (8, 256), (8, 20)])
+@pytest.mark.parametrize("words_changed", [5, 6, 7, 8])
+def test_no_link_is_lost_in_a_crowded_band(spark, monkeypatch, most, block, words_changed):
+    """One template gives lists of 300 texts, whose pairs are just above 0.8 or just below."""
+    monkeypatch.setattr(similar, "LIST", most)
+    monkeypatch.setattr(similar, "BLOCK", block)
+    data = templates(300, words_changed, words_changed)
+    sets = {i: {tuple(t[j : j + 5]) for j in range(len(t) - 4)} for i, t in data.items()}
+
+    def near_enough(a, b):
+        common = len(a & b)
+        return common >= 0.8 * (len(a) + len(b) - common)
+
+    expected = exact_components(sets, near_enough)
+    rows = [(i, " ".join(t)) for i, t in data.items()]
+    links = similar.similar_links(spark.createDataFrame(rows, "node bigint, text string"))
+    links = {(r["a"], r["b"]) for r in links.collect()}
+    assert all(near_enough(sets[a], sets[b]) for a, b in links)
+    # a list gives no more links than it has texts where these are in one block
+    assert block < 256 or len(links) <= similar.BANDS * len(data)
+    neighbours = {i: set() for i in data}
+    for a, b in links:
+        neighbours[a].add(b)
+        neighbours[b].add(a)
+    assert exact_components({i: i for i in data}, lambda a, b: b in neighbours[a]) == expected
+    if words_changed == 7:
+        assert 1 < len(set(expected.values())) < 300
+
+
+def test_blocks_of_few_shingles(spark, monkeypatch):
+    """Also with blocks of one text, and among texts without words."""
+    monkeypatch.setattr(similar, "LIST", 1)
+    monkeypatch.setattr(similar, "BLOCK_SHINGLES", 1)
+    data = templates(12, 6, 1)
+    rows = [(i, " ".join(t)) for i, t in data.items()] + [(100, ""), (101, None), (102, "a b")]
+    docs = spark.createDataFrame(rows, "node bigint, text string")
+    links = {(r["a"], r["b"]) for r in similar.similar_links(docs).collect()}
+    both = {frozenset((a, b)) for a, b in links}
+    every = {i: {j for j in data if jaccard(data[i], data[j]) >= 0.8} for i in data}
+    for i in data:  # connected as they should be
+        seen, todo = {i}, [i]
+        while todo:
+            j = todo.pop()
+            more = {k for k in data if frozenset((j, k)) in both} - seen
+            seen |= more
+            todo += more
+        assert every[i] <= seen
+
+
 def without_repeats(texts, n):
     count = Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1))
     for t in texts:
