@@ -12,6 +12,8 @@ from feedloom.session import new_folder
 
 #: Fixed value: a word is a run of anything but these.
 WORD = r"[^\x20\x09-\x0D]+"
+#: What may be before a word.
+SPACE = r"[\x20\x09-\x0D]*"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 

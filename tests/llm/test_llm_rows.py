@@ -144,6 +144,40 @@ def test_mix_targets(spark):
     assert all(words[i] == r["taken"] for i, r in got.items())
 
 
+def test_documents_are_mixed_whole(spark):
+    """One text of a source at most is cut, after one of its words; white space stays."""
+    rng = random.Random(9)
+    spaces = [" ", "  ", "\n", "\t ", "\r\n\n"]
+    data = []
+    for i in range(2000):
+        words = [f"é{i}w{j}" for j in range(rng.randrange(1, 12))]
+        text = rng.choice(["", "  "]) + "".join(w + rng.choice(spaces) for w in words)
+        data.append((i, text, rng.choice("abc"), len(text)))
+    data += [(5000, " ".join("word" * 1 for _ in range(3000)), "a", 14999)]
+    data += [(6000, "again and\nagain", "d", 15)] * 50  # equal rows, with the same number
+    schema = "doc_id bigint, text string, source string, n_chars bigint"
+    docs = spark.createDataFrame(data, schema)
+    whole = {(i, t) for i, t, _, _ in data}
+    cut = Counter()
+    mixed = mixing.mixed_documents(docs).collect()
+    for r in mixed:
+        assert r["n_chars"] == len(r["text"])
+        if (r["doc_id"], r["text"]) not in whole:
+            cut[r["source"]] += 1
+            (text,) = {t for i, t in whole if i == r["doc_id"]}
+            assert text.startswith(r["text"]) and text.split()[: len(r["text"].split())]
+            assert text[len(r["text"])].isspace() and not r["text"][-1].isspace()
+    assert max(cut.values(), default=0) <= 1
+    sums = Counter()
+    for r in mixed:
+        sums[r["source"]] += len(r["text"].split())
+    targets_of = {r["source_size"]: r["target"] for r in mixing.mix_sources(docs).collect()}
+    sizes = Counter()
+    for _, t, s, _ in data:
+        sizes[s] += len(t.split())
+    assert all(0 <= targets_of[n] - sums[s] < 1 for s, n in sizes.items())
+
+
 def test_mix_odd_rows(spark):
     docs = odd_documents(spark)
     got = mixing.mix_sources(docs).collect()
