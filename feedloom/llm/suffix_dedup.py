@@ -428,6 +428,19 @@ def without_repeats(
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``without_repeats`` with ``kept_sha256``, the digest of the bytes left, in place of these."""
+    """``without_repeats`` with ``kept_sha256``, the digest of the bytes left, in place of these.
+
+    Two more columns tell how a document fares: ``score``, the share of its bytes that is removed
+    (0 for an empty text), and ``predicted``, 1 where anything is removed and 0 elsewhere.
+    """
     found = without_repeats(docs, id_col, text_col)
-    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    share = F.when(F.col("n_bytes") > 0, F.col("n_removed") / F.col("n_bytes")).otherwise(0.0)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+        share.alias("score"),
+        (F.col("n_removed") > 0).cast("int").alias("predicted"),
+    )

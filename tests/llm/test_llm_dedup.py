@@ -305,6 +305,19 @@ def test_repeated_bytes(spark, group):
     assert {r[0]: (*r[1:4], bytes(r[4])) for r in got} == dict(enumerate(expected))
 
 
+def test_verdict_on_repeats(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdefgh ", k=1000)) for _ in range(4)]
+    passage = "".join(rng.choices("xyz ", k=450))
+    texts += [texts[0][:50] + passage, passage + "!" * 30, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in suffix.suffix_dedup(docs).collect()}
+    assert {i for i, r in got.items() if r["predicted"]} == {4, 5}
+    for r in got.values():
+        share = r["n_removed"] / r["n_bytes"] if r["n_bytes"] else 0
+        assert r["score"] == share and r["predicted"] == (r["n_removed"] > 0)
+
+
 def test_maximal_groups_of_one_anchor():
     rng = random.Random(1)
     for _ in range(100):
