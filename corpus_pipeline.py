@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm.common import stored, table
+from feedloom.llm.common import table
 from feedloom.llm.exact_dedup import distinct_documents
 from feedloom.llm.jaccard import similar_links
 from feedloom.llm.language_id import determined
@@ -15,6 +15,7 @@ from feedloom.llm.mixing import mixed_documents
 from feedloom.llm.packing import pack
 from feedloom.llm.queries import TOKENIZER
 from feedloom.llm.simhash_dedup import one_of_each
+from feedloom.session import clear_folders, given_folders, new_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -60,9 +61,18 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each but the last written to the shared folder and reread."""
+    """All stages over ``documents``, each but the last written to the shared folder and reread.
+
+    What a stage has written for its own use is removed when its result is there, and that result
+    when the next one is.
+    """
     docs = table(spark, sf_dir, "documents")
     *inner, (_, last) = STAGES
+    since = given_folders()
     for name, stage in inner:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = new_folder(spark, f"stage-{name}")
+        made = stage(spark, docs, sf_dir)
+        made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        clear_folders(spark, since, keep={path})
     return last(spark, docs, sf_dir)

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import SparkSession
 
@@ -31,18 +32,26 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return _given[-1]
 
 
-def clear_folders(spark: SparkSession) -> int:
+def clear_folders(spark: SparkSession, since: int = 0, keep: Collection[str] = ()) -> int:
     """Removes what ``new_folder`` has given out, and tells how many folders there were.
 
-    For when no result that was made from them is still to be read.
+    For when no result that was made from them is still to be read. ``since`` is a number that
+    ``given_folders`` told: only what was given out later is removed, but for what is in ``keep``.
     """
     removed = 0
-    while _given:
-        path, files = _files(spark, _given.pop())
-        removed += files.delete(path, True)
+    for path in _given[since:]:
+        if path not in keep:
+            place, files = _files(spark, path)
+            removed += files.delete(place, True)
+            _given.remove(path)
     return removed
 
 
+def given_folders() -> int:
+    """How many folders have been given out and not been removed."""
+    return len(_given)
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything has been written there."""
     place, files = _files(spark, path)
