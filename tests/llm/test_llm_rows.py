@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from feedloom.llm import mixing, packing, pii
 from feedloom.llm.queries import TOKENIZER
+from feedloom.session import _given, folder_exists, given_folders
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -257,7 +258,11 @@ def test_pipeline(spark, tmp_path, table):
         if name != "pack":
             assert result.columns == step.columns
         step = spark.read.parquet(f"{tmp_path}/{name}")
+    before = given_folders()
     whole = corpus_pipeline.run(spark, str(tmp_path))
+    own = _given[before:]
+    assert not any(folder_exists(spark, p) for p in own if "stage-" in p and "-mix-" not in p)
+    assert sum("stage-" in p for p in own) == 1  # and what the last stage needs
     key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     a, b = (Counter(map(tuple, d.select(*key).collect())) for d in (step, whole))
     assert a == b and bool(a) == (table != "none")
