@@ -5,9 +5,14 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.flags import flag_mask, flag_tests, highest_flag
 from feedloom.functions.lines import byte_diff, delimited_fields, strip_irc_format
-from feedloom.operators.log import log_head, replay_range
+from feedloom.operators.log import log_head, reject_columns, replay_range
 from feedloom.schemas import EDIT_EVENT, REJECTED_EDIT
 
+_MADE = frozenset(
+    ["title", "flags", "diffurl", "user", "bytediff", "summary", "reason", "parts"]
+    + ["_plain", "_fields", "_unmatched"]
+)
+
 
 def for_channel(raw: DataFrame, channel: str | None) -> DataFrame:
     """Lines of one channel; of all channels when ``channel`` is None."""
@@ -30,8 +35,10 @@ def line_parts(raw: DataFrame) -> DataFrame:
 def judge_edits(raw: DataFrame) -> DataFrame:
     """Every line with the texts found in it, and in ``reason`` why it is no edit, if it is none.
 
-    For those who want edits and rejects from one pass over the log.
+    For those who want edits and rejects from one pass over the log. The log may have further
+    columns, but none named like one that is added.
     """
+    reject_columns(raw, _MADE)
     parts = F.col("parts")
     # a generator again, so that the number is read once, not in the filter and above it
     found = F.struct(

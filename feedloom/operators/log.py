@@ -1,6 +1,6 @@
 """Reading a log by ordinal, and giving ordinals to a log that has none."""
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from feedloom.session import new_folder
 
 
+def reject_columns(log: DataFrame, made: Iterable[str]) -> None:
+    """An error if the log has a column that an operator is about to add."""
+    taken = set(made) & {c.lower() for c in log.columns}
+    if taken:
+        raise ValueError(f"the log already has {', '.join(sorted(taken))}")
+
+
 def replay_range(
     log: DataFrame, start: int | None = None, end: int | None = None, ordinal: str = "ordinal"
 ) -> DataFrame:
@@ -56,9 +63,7 @@ def with_ordinals(
     driver, of bounded number; for texts much longer than a chat line, lower
     ``spark.sql.execution.rangeExchange.sampleSizePerPartition``.
     """
-    taken = {"ordinal", "_place", "_partition"} & {c.lower() for c in raw.columns}
-    if taken:
-        raise ValueError(f"the log already has {', '.join(sorted(taken))}")
+    reject_columns(raw, {"ordinal", "_place", "_partition"})
     spark = raw.sparkSession
     path = work_path or new_folder(spark, "ordinals")
     keys = [*order_cols, "_place"]

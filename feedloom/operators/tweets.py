@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.series import status_time
+from feedloom.operators.log import reject_columns
 from feedloom.schemas import STATUS, TWEET_ROW
 
 _BROKEN = "_broken"
+_MADE = frozenset([*(name.lower() for name in TWEET_ROW.names), "reason", "_raw", _BROKEN])
 
 
 def judge_statuses(raw: DataFrame) -> DataFrame:
@@ -15,8 +17,10 @@ def judge_statuses(raw: DataFrame) -> DataFrame:
 
     ``bad_json``: no JSON text. ``bad_field``: a field that is read has another type.
     ``no_text``: a notice, which is no status. ``bad_time``: no readable creation time.
-    As with edits, generators keep the filters from parsing a text a second time.
+    As with edits, generators keep the filters from parsing a text a second time. The log may have
+    further columns, but none named like one that is added.
     """
+    reject_columns(raw, _MADE)
     options = {"columnNameOfCorruptRecord": _BROKEN}
     schema = T.StructType([*STATUS.fields, T.StructField(_BROKEN, T.StringType())])
     status = F.inline(F.array(F.from_json("value", schema, options)))

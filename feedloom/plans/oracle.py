@@ -49,6 +49,11 @@ _EVENTS = (
     '"user", byteDiff, summary, isMinor, isNew, isUnpatrolled, isBotEdit, isSpecial, isTalk, '
     "flag FROM flagged"
 )
+_TOP = ", top AS (SELECT coalesce(max(ordinal), -1) AS head FROM raw)"
+_MIDDLE = (
+    f"WITH raw AS ({_RAW}){_TOP} "
+    "SELECT raw.* FROM raw, top WHERE ordinal > head // 4 AND ordinal <= head * 3 // 4"
+)
 _ORDINALS = (
     f"WITH raw AS ({_RAW}) "
     "SELECT row_number() OVER (ORDER BY received_ms NULLS FIRST, channel NULLS FIRST, "
@@ -96,9 +101,10 @@ ORACLE: dict[str, str] = {
     "edits_count": f"{_CTES} SELECT count(*) AS n FROM parsed",
     "edits_head": f"{_CTES} SELECT ordinal, {_ROW} FROM parsed ORDER BY ordinal LIMIT 20",
     "log_head": f"WITH raw AS ({_RAW}) SELECT coalesce(max(ordinal), -1) AS head FROM raw",
-    "replay_range": (
-        f"WITH raw AS ({_RAW}), top AS (SELECT coalesce(max(ordinal), -1) AS head FROM raw) "
-        "SELECT raw.* FROM raw, top WHERE ordinal > head // 4 AND ordinal <= head * 3 // 4"
+    "replay_range": _MIDDLE,
+    "log_range": _MIDDLE,
+    "log_head_manifest": (
+        f"WITH raw AS ({_RAW}) SELECT coalesce(max(ordinal), -1) AS head FROM raw"
     ),
     "backlog": (
         f"WITH raw AS ({_RAW}), top AS (SELECT coalesce(max(ordinal), -1) AS head FROM raw) "
@@ -109,6 +115,18 @@ ORACLE: dict[str, str] = {
     "edits_stream": _EDITS,
     "edits_channel_stream": f"{_EDITS} WHERE channel = '{DEMO_CHANNEL}'",
     "edit_events_stream": _EVENTS,
+    "edit_events_gaps": (
+        f"{_CTES}{_TOP} SELECT received_ms AS timeStamp, channel, title, diffUrl, "
+        '"user", byteDiff, summary, isMinor, isNew, isUnpatrolled, isBotEdit, isSpecial, isTalk, '
+        "flag FROM flagged, top WHERE ordinal <= head // 4 OR ordinal > head * 3 // 4"
+    ),
+    "edits_live": (
+        f"{_CTES}{_TOP}, looks AS (SELECT 0 AS look, -1 AS upto UNION ALL "
+        "SELECT 1, head // 2 FROM top UNION ALL SELECT 2, head FROM top) "
+        "SELECT look, (SELECT count(*) FROM parsed WHERE ordinal <= upto) AS n FROM looks"
+    ),
+    "edits_handover": _EDITS,
+    "received_running": f"{_CTES} SELECT count(*) AS received FROM parsed",
     "received_count": f"{_CTES} SELECT channel, count(*) AS received FROM parsed GROUP BY channel",
     "received_total": f"{_CTES} SELECT count(*) AS received FROM parsed",
     "rate_curve": (

@@ -34,13 +34,16 @@ from feedloom.plans.fixtures import (
 )
 from feedloom.schemas import EDIT_EVENT, EDIT_ROW, RAW_EDIT, TWEET_ROW
 from feedloom.session import new_folder
-from feedloom.sources.edits import read_edits_stream
+from feedloom.sources.edits import hand_over, read_edits_stream, read_raw_edits
+from feedloom.sources.manifest import land_log, log_head_of
 from feedloom.sources.tweets import read_tweets
+from feedloom.streaming.folders import append_folders, read_folders, received_so_far
+from feedloom.streaming.progress import wait_for_rows
 from feedloom.streaming.sinks import (
     append_numbered,
     append_table,
-    for_each_batch,
     latest_snapshot,
+    live_table,
     open_table,
     run_available,
     snapshots,
@@ -156,13 +159,82 @@ def edits_channel_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edit_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "edit-events-stream")
+    stream = edit_events(parse_edits(raw_edits(spark, sf_dir, streaming=True)))
+    run_available(append_folders(stream, f"{out}/table", f"{out}/checkpoint", every=None))
+    return read_folders(spark, f"{out}/table", EDIT_EVENT)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/table/batch={batch_id}")
 
-    stream = edit_events(parse_edits(raw_edits(spark, sf_dir, streaming=True)))
-    run_available(for_each_batch(stream, write, f"{out}/checkpoint", every=None))
-    return written(spark, f"{out}/table", EDIT_EVENT)
+def edit_events_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file of the log in each batch; those in the middle hold nothing that is wanted."""
+    out = new_folder(spark, "edit-events-gaps")
+    raw = raw_edits(spark, sf_dir)
+    head = _head(raw)
+    log = land_log(raw, f"{out}/log", files=10)
+    stream = read_raw_edits(spark, log, None, streaming=True, max_files_per_trigger=1)
+    wanted = stream.where(
+        (F.col("ordinal") <= head // 4) | (F.col("ordinal") > head * 3 // 4)
+    )
+    table = f"{out}/table"
+    events = edit_events(parse_edits(wanted))
+    run_available(append_folders(events, table, f"{out}/checkpoint", None, close_every=3))
+    return read_folders(spark, table, EDIT_EVENT)
+
+
+def received_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running count after a restart: the log has grown between the two runs."""
+    out = new_folder(spark, "received-running")
+    raw = raw_edits(spark, sf_dir)
+    half = _head(raw) // 2
+    for part in (raw.where(F.col("ordinal") <= half), raw.where(F.col("ordinal") > half)):
+        part.write.mode("append").parquet(f"{out}/log")
+        edits = parse_edits(read_raw_edits(spark, f"{out}/log", None, streaming=True))
+        run_available(append_folders(edits, f"{out}/table", f"{out}/checkpoint", every=None))
+    return received_so_far(spark, f"{out}/table").select("received")
+
+
+def edits_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three looks at one table: before its stream, while it runs, and when more has come."""
+    out = new_folder(spark, "edits-live")
+    raw = raw_edits(spark, sf_dir)
+    half = _head(raw) // 2
+    live_table(spark, "edits_live", f"{out}/table", EDIT_ROW)
+
+    def look(number: int) -> DataFrame:
+        n = spark.sql("SELECT count(*) AS n FROM edits_live")
+        return n.select(F.lit(number).alias("look"), "n")
+
+    looks = [look(0)]
+    raw.where(F.col("ordinal") <= half).write.parquet(f"{out}/log")
+    stream = read_edits_stream(spark, f"{out}/log", None)
+    query = append_table(stream, "edits_live", f"{out}/checkpoint", f"{out}/table", "0 seconds")
+    try:
+        if half > 0:
+            wait_for_rows(spark, query, timeout_s=600)
+        looks.append(look(1))
+        raw.where(F.col("ordinal") > half).write.mode("append").parquet(f"{out}/log")
+        query.processAllAvailable()
+        looks.append(look(2))
+    finally:
+        query.stop()
+    return looks[0].unionByName(looks[1]).unionByName(looks[2])
+
+
+def edits_handed_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of the log as a table, what comes after it as a stream."""
+    log = land_log(raw_edits(spark, sf_dir))
+    half = log_head_of(spark, log).first()["head"] // 2
+    table, stream, _ = hand_over(spark, log, None, max_files_per_trigger=8, at=half)
+    return _utc(table.unionByName(_fill_table(stream, "edits_after")))
+
+
+def range_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = land_log(raw_edits(spark, sf_dir))
+    head = log_head_of(spark, log).first()["head"]
+    return read_raw_edits(spark, log, None, start=head // 4, end=head * 3 // 4)
+
+
+def head_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_head_of(spark, land_log(raw_edits(spark, sf_dir)))
 
 
 def channel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,6 +322,12 @@ QUERIES: dict[str, Query] = {
     "edits_stream": edits_stream,
     "edits_channel_stream": edits_channel_stream,
     "edit_events_stream": edit_events_stream,
+    "edit_events_gaps": edit_events_gaps,
+    "edits_live": edits_live,
+    "edits_handover": edits_handed_over,
+    "log_range": range_of_files,
+    "log_head_manifest": head_of_files,
+    "received_running": received_running,
     "received_count": channel_counts,
     "received_total": total_count,
     "rate_curve": rate_curve,

@@ -24,6 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _given: list[str] = []
+_DONE = "_DONE"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -41,8 +42,7 @@ def clear_folders(spark: SparkSession, since: int = 0, keep: Collection[str] = (
     removed = 0
     for path in _given[since:]:
         if path not in keep:
-            place, files = _files(spark, path)
-            removed += files.delete(place, True)
+            removed += remove_folder(spark, path)
             _given.remove(path)
     return removed
 
@@ -58,6 +58,33 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def folders_in(spark: SparkSession, path: str, done: bool = False) -> list[str]:
+    """Names of the folders in a folder, none if it does not exist; with ``done`` the marked ones."""
+    place, files = _files(spark, path)
+    if not files.exists(place):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
+    return [n for n in names if not done or folder_exists(spark, f"{path}/{n}/{_DONE}")]
+
+
+def mark_done(spark: SparkSession, path: str) -> None:
+    """Marks a folder as completely written."""
+    place, files = _files(spark, f"{path}/{_DONE}")
+    files.create(place, True).close()
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Removes a folder with all that is in it; tells whether there was one."""
+    place, files = _files(spark, path)
+    return files.delete(place, True)
+
+
+def bytes_in(spark: SparkSession, path: str) -> int:
+    """The size of all that is in a folder."""
+    place, files = _files(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
 def _files(spark: SparkSession, path: str):
     """The path and its file system, as Spark itself reaches it."""
     context = spark.sparkContext

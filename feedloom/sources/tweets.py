@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedloom.operators.log import replay_range
 from feedloom.operators.tweets import tweet_rows
 from feedloom.schemas import RAW_STATUS
+from feedloom.sources.manifest import within_files
 
 
 def read_raw_statuses(
@@ -36,6 +37,14 @@ def read_tweets(
     end: int | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Tweets of the log, as a table or as a stream, after ordinal ``start`` up to ``end``."""
+    """Tweets of the log, as a table or as a stream, after ordinal ``start`` up to ``end``.
+
+    A log of text lines has no ordinals, so it has no range.
+    """
+    ranged = start is not None or end is not None
+    if ranged and fmt == "text":
+        raise ValueError("a log of text lines has no ordinals: start and end cannot be given")
     raw = read_raw_statuses(spark, path, fmt, streaming, max_files_per_trigger)
+    if ranged and not streaming:
+        raw = within_files(raw, path, start, end)
     return tweet_rows(replay_range(raw, start, end))

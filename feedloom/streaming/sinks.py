@@ -6,21 +6,16 @@ a query takes what is there, in as many batches as needed, and ends.
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from feedloom.fixed_values import BATCH_INTERVAL
 from feedloom.operators.log import with_ordinals
 from feedloom.session import folder_exists
-
-
-def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
-    if every is None:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=every)
+from feedloom.streaming.folders import close_batches
+from feedloom.streaming.triggers import set_trigger as _trigger
 
 
 def append_table(
@@ -58,6 +53,25 @@ def open_table(spark: SparkSession, name: str, path: str, schema: StructType) ->
     return table
 
 
+def live_table(spark: SparkSession, name: str, path: str, schema: StructType) -> None:
+    """Makes what ``append_table`` writes to ``path`` known to SQL as ``name``, whatever is there.
+
+    Each statement sees what has been written by then: the view keeps a text, which is read anew,
+    with the list of the files, whenever it is used. It may be made before the stream starts; an
+    empty file then says what the columns are, until the list that the stream keeps of its own
+    files takes its place. It holds for the session, and for readers of any length of time.
+    """
+    if not folder_exists(spark, path):
+        spark.createDataFrame([], schema).coalesce(1).write.parquet(path)
+    quoted = path.replace("`", "``")
+    columns = ", ".join(
+        f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema
+    )
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY VIEW `{name}` AS SELECT {columns} FROM parquet.`{quoted}`"
+    )
+
+
 def to_console(sdf: DataFrame, every: str | None = None, rows: int = 20) -> StreamingQuery:
     """Prints the first rows of each batch; no others reach the driver."""
 
@@ -77,17 +91,14 @@ def for_each_batch(
     """Calls ``fn`` with each batch that has rows, and its number.
 
     A batch may come again after a restart, with the same number; ``fn`` should replace what
-    it wrote for it. The batch is kept on the disks of the executors meanwhile, so that the
-    look at whether it has rows does not make them twice.
+    it wrote for it. Whether there are rows is seen from the first one; nothing is kept for that,
+    and a batch that has some is read again by ``fn``. To write batches, ``append_folders`` does
+    with one reading.
     """
 
     def call(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            if not batch.isEmpty():
-                fn(batch, batch_id)
-        finally:
-            batch.unpersist()
+        if not batch.isEmpty():
+            fn(batch, batch_id)
 
     writer = sdf.writeStream.foreachBatch(call).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
@@ -122,12 +133,18 @@ def append_numbered(
     checkpoint: str,
     order_cols: Sequence[str] = ("received_ms", "channel", "line"),
     every: str | None = BATCH_INTERVAL,
+    close_every: int | None = None,
+    keep: int = 0,
 ) -> StreamingQuery:
     """Appends a stream of raw rows to a log and gives them ordinals without gaps.
 
     Ordinals follow the order of the batches, and within a batch that of ``order_cols``. The
     ordinal that comes after the last two batches is kept, so the next batch, or the last one
     if it comes again and replaces what it wrote, has to read one number only.
+
+    With ``close_every`` so many batches are merged at a time, in the order of their ordinals, but
+    not the last ``keep``; see ``folders``. ``read_raw_edits`` and ``read_folders`` then read the
+    log; a stream from it sees the batches that are not merged, ``hand_over`` the rest.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -142,6 +159,8 @@ def append_numbered(
         following = F.coalesce("next", F.lit(first).cast("bigint"))
         after = last.toDF("next").select(following.alias("next"))
         after.write.mode("overwrite").parquet(f"{path}/_next/{batch_id % 2}")
+        if close_every is not None:
+            close_batches(spark, path, batch_id - keep, rows.schema, ["ordinal"], close_every)
 
     writer = sdf.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
