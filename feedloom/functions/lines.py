@@ -28,23 +28,64 @@ _BACKWARD = (
 )
 _BACKWARD_FIELDS = "$1\n$2\n$3\n$4\n$5\n$6\n$7"
 
-# For any text: each separator may be a line end, so what comes next depends on the line one is
-# on. A field ends at its last separator from which the rest can be reached, which is looked up
-# before the field is closed for good. To reach the rest, the first separator on the line is as
-# good as any later one there, and the line end is the only other choice. The time is quadratic
-# at worst. The number, which always has a character, is set in a match only.
+# For any text: a separator may be a line end, so what comes next depends on the line one is on. A
+# field ends at its last separator from which the rest can be reached. Which separators these are
+# is found from the end of the text, by one replacement for each kind, which puts marks at them:
+# a at the blank before "* (n)"; b at the blank before a "*" that is followed by one with a on its
+# line; c at a blank that is followed by one with b; d at a "]]" and blank followed by one with c.
+# A mark stands for all places to the left of it on its line, and a line end can be a separator
+# itself; then it stands for the line before. Each replacement reads a line once or twice, going
+# on where the last match on the line ended (\G). With the marks in place every field ends at the
+# last mark of its kind on the line, and nothing has to be tried again, so the time is linear.
+# Marks begin with a character that "." does not match, so no field holds one. Texts may have it:
+# there it only divides, as does another that it is turned into.
+_MARK = "\u0085"
+_BREAK = "\u2029"
+_IN_LINE = rf"[^\n\r{_BREAK}]"
 _BLANK = r"[ \t\x0B\f]"
-_NUMBER_AHEAD = r".*\s\*\s\(\+?.\d*\)\s"
-_STAR_AHEAD = (
-    rf"(?:(?>.*?{_BLANK}\*{_BLANK})|(?>.*{_BLANK}\*[\n\r])|(?>.*[\n\r]\*\s)){_NUMBER_AHEAD}"
-)
-_FLAGS_AHEAD = rf"(?:(?>.*?{_BLANK})|(?>.*[\n\r])){_STAR_AHEAD}"
+_NO_BLANK = rf"[^\n\r{_BREAK} \t\x0B\f]"
+
+
+def _mark(kinds: str) -> str:
+    """A mark of one of these kinds in reversed text."""
+    return f"[{kinds}]{_MARK}"
+
+
+_AT_LINE_END = rf"(?!{_mark('b')}(?:{_mark('a')})?[\n\r])"
+_MARKS = [
+    (r"(\s\)\d*.\+?\(\s\*)(?=\s)", f"$1a{_MARK}"),
+    (
+        rf"((?:(?<={_BLANK}\*|{_mark('a')}[\n\r]\*)\G|{_mark('a')}\s){_IN_LINE}*?\s\*)"
+        rf"(?=(?:{_mark('a')})?\s)",
+        f"$1b{_MARK}",
+    ),
+    (
+        rf"({_mark('b')}(?:{_mark('a')})?\s(?:{_AT_LINE_END}{_NO_BLANK})*+)"
+        rf"((?:{_AT_LINE_END}{_IN_LINE})*+)",
+        f"$1c{_MARK}$2c{_MARK}",
+    ),
+    (
+        rf"((?:(?<={_BLANK}|{_mark('c')}(?:{_mark('abc')}){{0,3}}[\n\r])\G"
+        rf"|{_mark('c')}(?:{_mark('abc')})*+\s){_IN_LINE}*?\s)(?=\]\])",
+        f"$1d{_MARK}",
+    ),
+]
+
+
+def _end(kind: str) -> str:
+    """A separator of a kind: a blank with its mark among others."""
+    others = "abcd".replace(kind, "")
+    return rf"\s(?:{_MARK}[{others}])*+{_MARK}{kind}(?:{_MARK}[abcd])*+"
+
+
+_SPACE = rf"\s(?:{_MARK}[abcd])*+"
 _FORWARD = (
-    rf"^(?s:.*?)(?<=\A|[{_LINE_ENDS}])(?>.*?\[\[)"
-    rf"(?>(.*)\]\]\s(?={_FLAGS_AHEAD}))"
-    rf"(?>(.*)\s(?={_STAR_AHEAD}))"
-    rf"(?>(.*)\s\*\s(?={_NUMBER_AHEAD}))"
-    r"(.*)\s\*\s\(\+?(.\d*)\)\s(.*)(?s:.*)"
+    rf"^(?s:.*?)(?<=\A|[\n\r{_BREAK}])(?>{_IN_LINE}*?\[\[)"
+    rf"(?>({_IN_LINE}*)\]\]{_MARK}d){_SPACE}"
+    rf"(?>({_IN_LINE}*){_end('c')})"
+    rf"(?>({_IN_LINE}*){_end('b')}\*){_SPACE}"
+    rf"(?>({_IN_LINE}*){_end('a')}\*){_SPACE}"
+    rf"\(\+?({_IN_LINE}(?:{_MARK}[abcd])*+\d*)\){_SPACE}({_IN_LINE}*)(?s:.*)"
     r"|^(?s:.*)"
 )
 _FORWARD_FIELDS = "$5\n$1\n$2\n$3\n$4\n$5\n$6"
@@ -73,7 +114,11 @@ def delimited_fields(line: Column) -> Column:
     Title, flags, diff URL, user, number and summary stand at 1 to 6. At 0 stands a text that
     is empty exactly when the line is no edit.
     """
-    forward = F.regexp_replace(line, F.lit(_FORWARD), F.lit(_FORWARD_FIELDS))
+    marked = F.reverse(F.translate(line, f"{_MARK}\u2028", _BREAK * 2))
+    for pattern, with_mark in _MARKS:
+        marked = F.regexp_replace(marked, F.lit(pattern), F.lit(with_mark))
+    forward = F.regexp_replace(F.reverse(marked), F.lit(_FORWARD), F.lit(_FORWARD_FIELDS))
+    forward = F.regexp_replace(forward, F.lit(f"{_MARK}[abcd]"), F.lit(""))
     backward = F.regexp_replace(F.reverse(line), F.lit(_BACKWARD), F.lit(_BACKWARD_FIELDS))
     return F.when(_has_any(line, _LINE_ENDS), forward).otherwise(F.reverse(backward))
 
