@@ -80,7 +80,7 @@ def _end(kind: str) -> str:
 
 _SPACE = rf"\s(?:{_MARK}[abcd])*+"
 _FORWARD = (
-    rf"^(?s:.*?)(?<=\A|[\n\r{_BREAK}])(?>{_IN_LINE}*?\[\[)"
+    rf"^(?s:.*?)[\n\r{_BREAK}](?>{_IN_LINE}*?\[\[)"
     rf"(?>({_IN_LINE}*)\]\]{_MARK}d){_SPACE}"
     rf"(?>({_IN_LINE}*){_end('c')})"
     rf"(?>({_IN_LINE}*){_end('b')}\*){_SPACE}"
@@ -117,7 +117,8 @@ def delimited_fields(line: Column) -> Column:
     marked = F.reverse(F.translate(line, f"{_MARK}\u2028", _BREAK * 2))
     for pattern, with_mark in _MARKS:
         marked = F.regexp_replace(marked, F.lit(pattern), F.lit(with_mark))
-    forward = F.regexp_replace(F.reverse(marked), F.lit(_FORWARD), F.lit(_FORWARD_FIELDS))
+    lines = F.reverse(F.concat(marked, F.lit("\n")))  # each line comes after a line end
+    forward = F.regexp_replace(lines, F.lit(_FORWARD), F.lit(_FORWARD_FIELDS))
     forward = F.regexp_replace(forward, F.lit(f"{_MARK}[abcd]"), F.lit(""))
     backward = F.regexp_replace(F.reverse(line), F.lit(_BACKWARD), F.lit(_BACKWARD_FIELDS))
     return F.when(_has_any(line, _LINE_ENDS), forward).otherwise(F.reverse(backward))
