@@ -1,5 +1,6 @@
 """Language, toxicity, URL filter: held-out accuracy and odd rows; nearest neighbours: recall."""
 
+import math
 import re
 import zlib
 
@@ -214,3 +215,84 @@ def test_neighbours_odd_rows(spark, monkeypatch, part):
     few = spark.createDataFrame(same[:3], schema)
     assert [r[2] for r in sorted(map(tuple, ann.nearest_neighbours(few).collect()))] == [1, 2]
     assert ann.nearest_neighbours(vectors.where("false")).count() == 0
+
+
+def plain_neighbours(rows, every=50, k=5):
+    """Brute force over rows of an id and a vector, equal ones once, each length by itself."""
+    rows = sorted({(i if i is not None else 1 << 62, tuple(v)) for i, v in rows})
+    found = []
+    for i, v in rows:
+        if i % every or i == 1 << 62:
+            continue
+        near = []
+        for j, w in rows:
+            if (j, w) != (i, v) and len(w) == len(v):
+                x, y = np.array(v), np.array(w)
+                near.append((-(x @ y) / math.sqrt((x @ x) * (y @ y)), j))
+        found += [(i, n + 1, j, -s) for n, (s, j) in enumerate(sorted(near)[:k])]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("part, part_rows", [(4096, 1 << 16), (8, 20)])
+def test_all_lists_and_no_abandoning_give_the_exact_neighbours(spark, monkeypatch, part, part_rows):
+    """Several lengths, ids with several vectors, many equal vectors, rows without an id."""
+    monkeypatch.setattr(ann, "PART", part)
+    monkeypatch.setattr(ann, "PART_ROWS", part_rows)
+    monkeypatch.setattr(ann, "EPSILON", 1e9)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=20).round(2).tolist()) for i in range(260)]
+    rows += [(i % 130, rng.normal(size=7).round(2).tolist()) for i in range(300)]
+    rows += [(1000 + i, rows[7][1]) for i in range(60)] + [rows[50], rows[50]]
+    rows += [(None, rng.normal(size=20).round(2).tolist()) for _ in range(20)] + [(50, [2.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.nearest_neighbours(vectors, wanted=1.0).collect()
+    got = sorted((r[0], r[1], r[2] if r[2] is not None else 1 << 62, r[3]) for r in got)
+    expected = plain_neighbours(rows)
+    # an id with several vectors of a length has several lists of five
+    assert [(g[0], g[1]) for g in got] == [(e[0], e[1]) for e in expected]
+    assert all(abs(g[3] - e[3]) < 1e-12 for g, e in zip(got, expected, strict=True))
+    assert sum(g[2] == e[2] for g, e in zip(got, expected, strict=True)) == len(expected)
+
+
+def test_clustered_vectors_need_few_lists(spark):
+    """Under a quarter of all vectors are looked at, and over 0.9 of the neighbours found."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(80, 32))
+    x = centres[rng.integers(0, 80, 6000)] + rng.normal(0, 0.25, (6000, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    usable = ann.usable_vectors(vectors)
+    counts = {32: 6000}
+    fitted = ann.fit_lists(usable, counts)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    lists = (unit @ fitted[32].T).argmax(axis=1)
+    index = [(v, 32, i, int(n)) for (i, v), n in zip(rows, lists, strict=True)]
+    index = spark.createDataFrame(index, "vector array<double>, length int, tag bigint, list int")
+    probes = ann.measured_probes(index, fitted, counts, 5, ann.WANTED)[32]
+    nearest = np.argsort(-(unit @ fitted[32].T), axis=1)[:, :probes]
+    looked = np.bincount(lists, minlength=len(fitted[32]))[nearest].sum(axis=1).mean()
+    assert looked < 6000 / 4
+    got = {}
+    for r in ann.nearest_neighbours(vectors).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, 6000, 50):
+        exact = unit @ unit[q]
+        exact[q] = -9
+        hits += len(got[q] & set(np.argsort(-exact)[:5].tolist()))
+    assert hits > 0.9 * 5 * 120
+
+
+def test_most_columns_are_not_compared():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(10, 128))
+    x = centres[rng.integers(0, 10, 3000)] + rng.normal(0, 0.3, (3000, 128))
+    ids = np.arange(3000)
+    part = ann.PartScan(x, ids, ids, np.zeros(3000, np.int64), 5)
+    query, vector, _ = part.search(x[:100], ids[:100], ids[:100], [np.array([0])] * 100)
+    assert part.compared < 0.5 * 100 * 3000 * len(part.blocks)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    exact = unit[:100] @ unit.T
+    exact[np.arange(100), np.arange(100)] = -9
+    true = [set(row[:5].tolist()) for row in np.argsort(-exact, axis=1)]
+    assert sum(part.ids[v] in true[q] for q, v in zip(query, vector, strict=True)) > 0.95 * 500
