@@ -46,16 +46,19 @@ def _grams(
 ) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Hashed n-grams of all texts, where those of each text start, and whether it has a letter.
 
-    Case is dropped and all but letters counts as a blank. A blank before and two after each
-    text keep n-grams from reaching into the next text.
+    Case is dropped and all but letters counts as a blank. A text has two blanks before and one
+    after; those before the next text, or at the end of all, end its last n-grams, so that these
+    do not depend on what comes next.
     """
-    padded = [f" {t.lower()}  " for t in texts]
+    before = " " * (max(LENGTHS) - 1)
+    padded = [f"{before}{t.lower()} " for t in texts]
     starts = np.cumsum([0, *map(len, padded[:-1])])
-    codes = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32)
+    codes = np.frombuffer("".join([*padded, before]).encode("utf-32-le"), np.uint32)
     is_letter = letters[np.minimum(codes, 0xFFFF)]
     for at in np.flatnonzero(codes > 0xFFFF):  # letters beyond the table are rare
         is_letter[at] = chr(codes[at]).isalpha()
     has_letter = np.logical_or.reduceat(is_letter, starts)
+    size = len(codes) - len(before)
     codes = np.where(is_letter, codes, np.uint32(32))
     shift = np.uint32(32 - BUCKETS.bit_length() + 1)
     hashed = []
@@ -66,7 +69,8 @@ def _grams(
             gram = gram * np.uint32(0x85EBCA6B)
             gram[: -n + 1] += mixed[n - 1 :]
         if n in LENGTHS:
-            hashed.append(((gram ^ (gram >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> shift)
+            whole = ((gram ^ (gram >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> shift
+            hashed.append(whole[:size])
     return hashed, starts, has_letter
 
 

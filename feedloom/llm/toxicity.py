@@ -292,7 +292,8 @@ def labelled_sample(
     """``id``, ``text`` and ``toxic`` of about ``rows`` texts with a label.
 
     The labels are sampled first, so that what is broadcast is bounded by ``rows``. If an id has
-    several labels the larger counts; null labels and ids are left out.
+    several labels the larger counts, and of several texts the smallest, so that no more than the
+    sample reaches the one task that fits; null labels and ids are left out.
     """
     labels = labels.where(f"toxic in (0, 1) and {id_col} is not null")
     larger = F.max("toxic").cast("int").alias("toxic")
@@ -303,7 +304,8 @@ def labelled_sample(
         chance = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)
         labels = labels.where(chance < rows / total)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return stored(texts.join(F.broadcast(labels), "id"), "toxicity-texts")
+    joined = texts.join(F.broadcast(labels), "id").groupBy("id", "toxic")
+    return stored(joined.agg(F.min("text").alias("text")), "toxicity-texts")
 
 
 def toxicity(

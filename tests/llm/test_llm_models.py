@@ -65,6 +65,54 @@ def auc(rows):
     return (p[y == 1][:, None] > p[y == 0]).mean() + (p[y == 1][:, None] == p[y == 0]).mean() / 2
 
 
+def plain_grams(text):
+    """Buckets of the 2- and 3-grams of a text, letter by letter."""
+    letters = [c if c.isalpha() else " " for c in f"  {text.lower()} "] + [" ", " "]
+    codes = [ord(c) for c in letters]
+    found = []
+    for at in range(len(codes) - 2):
+        value = codes[at] * 0x9E3779B1
+        for n in (1, 2):
+            value = (value * 0x85EBCA6B + codes[at + n] * 0x9E3779B1) % 2**32
+            found.append((value ^ value >> 15) * 0x2C1B3C6D % 2**32 >> 17)
+    return found
+
+
+def test_language_against_plain_python(spark):
+    """Counts, smoothed probabilities and scores, each text by itself."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()]
+    rows = rows[:120] + [(9001, "Ünïcode ΣΑΣ 𝒳 x", "xx"), (9002, "a", "xx"), (9003, "", "yy")]
+    rows += [(9004, None, "yy"), (9005, "12 !", None), (9006, "z" * 50, None)]
+    counts, texts = {}, {}
+    for i, text, lang in rows:
+        if crc(i, 3) != 1 and text is not None and lang is not None:
+            counts.setdefault(lang, np.zeros(1 << 15))
+            np.add.at(counts[lang], plain_grams(text), 1)
+            texts[lang] = texts.get(lang, 0) + 1
+    langs = sorted(counts)
+    schema = "doc_id bigint, text string, lang string"
+    frame = spark.createDataFrame(rows, schema)
+    got = {r["doc_id"]: r for r in language_id.language_id(frame.repartition(5)).collect()}
+    # the result does not depend on which texts come together
+    alone = {r["doc_id"]: r for r in language_id.language_id(frame.coalesce(1)).collect()}
+    for i, text, _ in rows:
+        r = got[i]
+        assert (r["lang_pred"], r["score"]) == (alone[i]["lang_pred"], alone[i]["score"])
+        if not text or not any(c.isalpha() for c in text):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+            continue
+        odds = []
+        for lang in langs:
+            smooth = counts[lang] + 0.1
+            log = np.log(smooth) - math.log(smooth.sum())
+            prior = math.log(texts[lang] / sum(texts.values()))
+            odds.append(prior + sum(log[b] for b in plain_grams(text)))
+        chance = 1 / sum(math.exp(o - max(odds)) for o in odds)
+        assert r["lang_pred"] == langs[int(np.argmax(odds))]
+        assert abs(r["score"] - chance) < 1e-9
+
+
 def test_toxicity_of_held_out_texts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
@@ -171,6 +219,26 @@ def test_url_trees_learn(spark):
     assert all((r["score"] >= 0.5) == (r["label"] == 1) for r in rest) and len(rest) > 50
 
 
+def test_url_trees_on_ruled_pages_that_were_held_out(spark):
+    """They learn from half of the URLs under rules, and are right on most of the other half."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").distinct()
+    host, path = url_filter.host_and_path(F.col("url"))
+    ruled = pages.withColumns({"host": host, "path": path})
+    ruled = ruled.withColumn(
+        "hit", url_filter.matching_rule(F.col("host"), F.col("path"), url_filter.RULES)
+    )
+    ruled = ruled.where("hit is not null").select(
+        "url", "host", "path", (F.col("hit.verdict") == "block").cast("int").alias("label")
+    )
+    half = F.crc32(F.encode("url", "utf-8")) % 2
+    model = url_filter.train(ruled.where(half == 0))
+    rest = url_filter.judge_urls(ruled.where(half == 1), model).collect()
+    right = sum((r["score"] >= 0.5) == (r["label"] == 1) for r in rest)
+    usual = max(sum(r["label"] == x for r in rest) for x in (0, 1))
+    print(f"held-out ruled URLs: {len(rest)}, right {right}, most frequent verdict {usual}")
+    assert len(rest) > 50 and right > usual
+
+
 def test_neighbours(spark):
     vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
     got = ann.nearest_neighbours(vectors).collect()
