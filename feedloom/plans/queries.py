@@ -32,7 +32,7 @@ from feedloom.plans.fixtures import (
     raw_edits,
     raw_statuses,
 )
-from feedloom.schemas import EDIT_EVENT, EDIT_ROW, RAW_EDIT, TWEET_ROW
+from feedloom.schemas import EDIT_EVENT, EDIT_ROW, RAW_EDIT
 from feedloom.session import new_folder
 from feedloom.sources.edits import hand_over, read_edits_stream, read_raw_edits
 from feedloom.sources.manifest import land_log, log_head_of
@@ -285,10 +285,9 @@ def tweets_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tweets_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = land_raw_statuses(spark, sf_dir)
-    head = _head(raw_statuses(spark, sf_dir))
-    replay = read_tweets(spark, log, start=head // 4, end=head * 3 // 4)
-    return _utc(replay.select(*TWEET_ROW.names), "createdDate")
+    raw = raw_statuses(spark, sf_dir)
+    head = _head(raw)
+    return _utc(tweet_rows(replay_range(raw, head // 4, head * 3 // 4)), "createdDate")
 
 
 def tweets_left_over(spark: SparkSession, sf_dir: str) -> DataFrame:
