@@ -85,6 +85,28 @@ def bytes_in(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(place).getLength()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file, in place of the one there is."""
+    place, files = _files(spark, path)
+    stream = files.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file as a text, None where there is none."""
+    place, files = _files(spark, path)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def _files(spark: SparkSession, path: str):
     """The path and its file system, as Spark itself reaches it."""
     context = spark.sparkContext

@@ -8,6 +8,7 @@ those who had begun to read them are not disturbed at once. Whenever the writer
 in one folder that counts.
 """
 
+import json
 import math
 from collections.abc import Sequence
 
@@ -17,7 +18,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from feedloom.fixed_values import BATCH_INTERVAL
-from feedloom.session import bytes_in, folder_exists, folders_in, mark_done, remove_folder
+from feedloom.session import (
+    bytes_in,
+    folder_exists,
+    folders_in,
+    mark_done,
+    read_text,
+    remove_folder,
+    write_text,
+)
 from feedloom.streaming.triggers import set_trigger
 
 CLOSED = "_closed"
@@ -154,15 +163,12 @@ def append_folders(
 def count_batch(spark: SparkSession, path: str, batch_id: int, rows: int) -> None:
     """Adds a batch to the rows received. If it comes again it replaces what it added.
 
-    The sums after the last two batches are kept, so the next one reads one number.
+    The sums after the last two batches are kept in a small file each, so the next one reads one.
     """
-    before = 0
-    last = f"{path}/{RECEIVED}/{(batch_id - 1) % 2}"
-    if batch_id > 0 and folder_exists(spark, last):
-        before = spark.read.schema(_COUNTS).parquet(last).first()["received"]
-    counted = spark.createDataFrame([(batch_id, rows, before + rows)], _COUNTS)
-    own = f"{path}/{RECEIVED}/{batch_id % 2}"
-    counted.coalesce(1).write.mode("overwrite").parquet(own)
+    last = read_text(spark, f"{path}/{RECEIVED}/{(batch_id - 1) % 2}.json") if batch_id else None
+    before = json.loads(last)["received"] if last else 0
+    counted = {"batch": batch_id, "rows": rows, "received": before + rows}
+    write_text(spark, f"{path}/{RECEIVED}/{batch_id % 2}.json", json.dumps(counted))
 
 
 def received_so_far(spark: SparkSession, path: str) -> DataFrame:
@@ -172,7 +178,7 @@ def received_so_far(spark: SparkSession, path: str) -> DataFrame:
     """
     if not folder_exists(spark, f"{path}/{RECEIVED}"):
         return spark.createDataFrame([], _COUNTS)
-    slots = spark.read.schema(_COUNTS).parquet(
-        *(f"{path}/{RECEIVED}/{name}" for name in folders_in(spark, f"{path}/{RECEIVED}"))
-    )
+    # one of the two may just be written anew
+    slots = spark.read.schema(_COUNTS).option("mode", "DROPMALFORMED")
+    slots = slots.json(f"{path}/{RECEIVED}").where("received is not null")
     return slots.orderBy(F.desc("batch")).limit(1)
