@@ -160,9 +160,10 @@ def crowded_links(
     sized = known.join(sets.select("node", F.size("set").alias("size")), "node")
 
     def blocks(rows: Column) -> Column:
-        number = F.count_if(rows) / BLOCK
-        shingles = F.sum(F.when(rows, F.col("size")).otherwise(0)) / BLOCK_SHINGLES
-        return F.ceil(F.greatest(number, shingles)).cast("int")
+        texts = F.count_if(rows)
+        shingles = F.sum(F.when(rows, F.col("size")).otherwise(0))
+        number = F.ceil(F.greatest(texts / BLOCK, shingles / BLOCK_SHINGLES))
+        return F.least(number, texts).cast("int")
 
     mixed = sized.groupBy("key").agg(
         blocks(F.col("linked")).alias("of_linked"), blocks(~F.col("linked")).alias("of_others")
