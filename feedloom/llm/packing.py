@@ -12,14 +12,16 @@ import math
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import portions, stored, texts_of
+from feedloom.llm.common import portions, stored
 
 SEQUENCE = 2048
 #: Lengths are rounded up to classes of this width for the linear program.
@@ -33,6 +35,8 @@ RANKED = 50_000
 _CACHED_WORDS = 500_000
 #: Fixed value: ASCII marks, neither letters nor digits.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Characters below U+0250 without U+0130, which has two in lower case.
+_PLAIN = r"^[\x{0}-\x{12F}\x{131}-\x{24F}]+$"
 
 
 def token_pieces(
@@ -49,41 +53,32 @@ def token_pieces(
         F.monotonically_increasing_id().alias("row"),
         F.col(text_col).alias("text"),
     )
-    end = END_ID.to_bytes(4, "little")
-    size = 4 * SEQUENCE
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        encoder = Tokenizer.from_file(tokenizer)
-        closing = _closing(encoder)
-        known: dict[bytes, bytes] = {}
-        stems: dict[str, bytes] = {}
+        words = _Words(Tokenizer.from_file(tokenizer))
         for batch in batches:
             for part in portions(batch, "text"):
-                split = [t.split() for t in texts_of(part.column("text"))]
-                new = set().union(*split).difference(known)
-                if len(known) + len(new) > _CACHED_WORDS:
-                    known, stems = {}, {}
-                    new = set().union(*split)
-                known |= _word_ids(encoder, closing, new, stems)
-                of_row, start, length, crc, total = [], [], [], [], []
-                for i, words in enumerate(split):
-                    ids = b"".join([*map(known.__getitem__, words), end])
-                    for a in range(0, len(ids), size):
-                        piece = ids[a : a + size]
-                        of_row.append(i)
-                        start.append(a // 4)
-                        length.append(len(piece) // 4)
-                        crc.append(zlib.crc32(piece))
-                        total.append(len(ids) // 4)
-                of_row = pa.array(of_row, pa.int64())
+                ids, ends = words.ids_of(part.column("text"))
+                total = np.diff(ends, prepend=0)
+                pieces = -(-total // SEQUENCE)
+                of_row = np.repeat(np.arange(len(total)), pieces)
+                nth = np.arange(len(of_row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = nth * SEQUENCE
+                length = np.minimum(total[of_row] - start, SEQUENCE)
+                begin = (ends - total)[of_row] + start
+                crc = [
+                    zlib.crc32(ids[x:y])
+                    for x, y in zip(begin.tolist(), (begin + length).tolist(), strict=True)
+                ]
+                rows_of = pa.array(of_row)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id").take(of_row),
-                        part.column("row").take(of_row),
-                        *(pa.array(x, pa.int64()) for x in (start, length, crc, total)),
+                        part.column("doc_id").take(rows_of),
+                        part.column("row").take(rows_of),
+                        *(pa.array(x, pa.int64()) for x in (start, length, crc, total[of_row])),
                     ],
                     ["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens"],
                 )
@@ -94,51 +89,112 @@ def token_pieces(
     return rows.mapInArrow(cut, schema)
 
 
-def _ids(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+def _gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` one after the other."""
+    shift = starts - (np.cumsum(lengths) - lengths)
+    return pool[np.arange(int(lengths.sum())) + np.repeat(shift, lengths)]
 
 
-def _closing(encoder) -> np.ndarray:
-    """Which ids end a run of letters."""
-    found = np.zeros(encoder.get_vocab_size(), np.bool_)
-    found[[i for token, i in encoder.get_vocab().items() if token.endswith("</w>")]] = True
-    return found
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
 
 
-def _word_ids(
-    encoder, closing: np.ndarray, words: set[bytes], stems: dict[str, bytes]
-) -> dict[bytes, bytes]:
-    """The ids of each word, as bytes.
+class _Words:
+    """The ids of whole texts, by way of the ids of their words.
 
     Most words are a run of letters with some marks after it, which the tokenizer takes apart
-    too. Such a stem, in lower case as the tokenizer has it, is looked up in ``stems``, and the
-    new ones are tokenized many in one text. Words with letters from U+0250 on, or with anything
-    else in them, are given to the tokenizer as they are.
+    too. Such a stem, in lower case as the tokenizer has it, and its marks are looked up each, and
+    new stems are tokenized many in one text. Words with letters from U+0250 on, or with anything
+    else in them, are given to the tokenizer as they are. What has been tokenized is a stretch of
+    ``pool``, found by its number.
     """
-    parts, others = [], []
-    for word in words:
-        text = word.decode()
-        stem = text.rstrip(_MARKS)
-        if stem.isalpha() and max(stem) < "\u0250" and "\u0130" not in stem:
-            parts.append((word, stem.lower(), text[len(stem) :]))
-        else:
-            others.append(word)
-    new = list({stem for _, stem, _ in parts}.difference(stems))
-    lines = [" ".join(new[at : at + 256]) for at in range(0, len(new), 256)]
-    at = 0
-    for encoding in encoder.encode_batch_fast(lines, add_special_tokens=False):
-        ids = _ids(encoding.ids)
-        ends = (np.flatnonzero(closing[encoding.ids]) + 1) * 4
-        for end, begin in zip(ends.tolist(), [0, *ends[:-1].tolist()], strict=True):
-            stems[new[at]] = ids[begin:end]
-            at += 1
-    marks = {tail: b"" for _, _, tail in parts}
-    rest = [*(t for t in marks if t), *(w.decode() for w in others)]
-    found = [_ids(e.ids) for e in encoder.encode_batch_fast(rest, add_special_tokens=False)]
-    named = len(rest) - len(others)
-    marks |= zip(rest[:named], found[:named], strict=True)
-    ids_of = dict(zip(others, found[named:], strict=True))
-    return ids_of | {word: stems[stem] + marks[tail] for word, stem, tail in parts}
+
+    def __init__(self, encoder):
+        self.encoder = encoder
+        # which ids end a run of letters
+        self.closing = np.zeros(encoder.get_vocab_size(), np.bool_)
+        self.closing[[i for t, i in encoder.get_vocab().items() if t.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        # number 0 is the empty word, number 1 the end of a document
+        self.number = {"": 0}
+        self.pool = np.array([END_ID], "<u4")
+        self.starts, self.lengths = np.array([0, 0]), np.array([0, 1])
+
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the closing one, and where each text ends in them."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        split = pc.ascii_split_whitespace(texts)
+        found = split.flatten().dictionary_encode()
+        first, second = self._numbers(found.dictionary)
+        # the ids of each different word, and those of the end as a word after them
+        halves = np.append(np.column_stack([first, second]).ravel(), [1, 0])
+        pool = _gathered(self.pool, self.starts[halves], self.lengths[halves])
+        lengths = self.lengths[halves].reshape(-1, 2).sum(axis=1)
+        starts = np.cumsum(lengths) - lengths
+        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        last = np.cumsum(counts)
+        words = np.insert(found.indices.to_numpy().astype(np.int64), last, len(lengths) - 1)
+        each = lengths[words]
+        ids = _gathered(pool, starts[words], each)
+        return ids, np.cumsum(each)[last + np.arange(len(last))]
+
+    def _numbers(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the stem, or of the whole word, and of the marks after a stem."""
+        stems = pc.utf8_rtrim(words, characters=_MARKS)
+        plain = pc.and_(pc.utf8_is_alpha(stems), pc.match_substring_regex(stems, _PLAIN))
+        heads = pc.if_else(plain, pc.utf8_lower(stems), words).dictionary_encode()
+        marked = pc.and_(plain, pc.not_equal(pc.binary_length(words), pc.binary_length(stems)))
+        marked = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        tails = [
+            word[stem:]
+            for word, stem in zip(
+                _strings(words.take(marked)),
+                pc.utf8_length(stems.take(marked)).to_numpy().tolist(),
+                strict=True,
+            )
+        ]
+        keys = heads.dictionary
+        if len(self.number) + len(keys) > _CACHED_WORDS:
+            self.forget()
+        first = self._known(_strings(keys))
+        new = first < 0
+        if new.any():
+            # a plain head is never another word as it is
+            lower = np.zeros(len(keys), np.bool_)
+            lower[heads.indices.filter(plain).to_numpy()] = True
+            self._learn_stems(_strings(keys.filter(pa.array(new & lower))))
+            self._learn(_strings(keys.filter(pa.array(new & ~lower))))
+            first[new] = self._known(_strings(keys.filter(pa.array(new))))
+        self._learn([t for t in dict.fromkeys(tails) if t not in self.number])
+        second = np.zeros(len(words), np.int64)
+        second[marked] = self._known(tails)
+        return first[heads.indices.to_numpy()], second
+
+    def _known(self, words: list[str]) -> np.ndarray:
+        """The number of each word, -1 for what has not been tokenized."""
+        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+
+    def _learn_stems(self, new: list[str]) -> None:
+        lines = [" ".join(new[at : at + 256]) for at in range(0, len(new), 256)]
+        encoded = self.encoder.encode_batch_fast(lines, add_special_tokens=False)
+        if encoded:
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in encoded])
+            self._add(new, ids, np.diff(np.flatnonzero(self.closing[ids]), prepend=-1))
+
+    def _learn(self, new: list[str]) -> None:
+        found = [e.ids for e in self.encoder.encode_batch_fast(new, add_special_tokens=False)]
+        ids = np.array([i for x in found for i in x], "<u4")
+        self._add(new, ids, np.array([len(x) for x in found], np.int64))
+
+    def _add(self, keys: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        at = len(self.lengths)
+        self.number |= zip(keys, range(at, at + len(lengths)), strict=True)
+        starts = len(self.pool) + np.cumsum(lengths) - lengths
+        self.pool = np.concatenate([self.pool, ids])
+        self.starts = np.concatenate([self.starts, starts])
+        self.lengths = np.concatenate([self.lengths, lengths])
 
 
 def best_pattern(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

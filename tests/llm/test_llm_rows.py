@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import LONG, no_documents, odd_documents
 from tokenizers import Tokenizer
@@ -236,6 +237,24 @@ def test_packing_round_trip(spark):
     assert sum(r["length"] for r in pieces) > 0.9 * 2048 * sequences
 
 
+@pytest.mark.parametrize("cached", [0, 200, packing._CACHED_WORDS])
+def test_ids_of_texts_are_those_of_the_tokenizer(monkeypatch, cached):
+    monkeypatch.setattr(packing, "_CACHED_WORDS", cached)
+    encoder = Tokenizer.from_file(TOKENIZER)
+    rng = random.Random(5)
+    letters = [*"aBxyzé \n\t.!'-1", "ß", "İ", "ı", "中", "\x1c", "\x85", "\u0301", "Ⅷ", "ª", "ς"]
+    texts = [None, "", " ", "\n a  b\r\n", "!"]
+    texts += [f"{chr(c)} a{chr(c)}! {chr(c)}" for c in range(1, 600)]
+    texts += ["".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(2000)]
+    words = packing._Words(encoder)
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        ids, ends = words.ids_of(pa.array(part, pa.string()))
+        found = np.split(ids, ends[:-1])
+        for text, own in zip(part, found, strict=True):
+            assert own.tolist() == [*encoder.encode(text or "", add_special_tokens=False).ids, 1]
+
+
 def test_packing_odd_rows(spark):
     docs = odd_documents(spark)
     pieces = packing.pack(docs, TOKENIZER).collect()
