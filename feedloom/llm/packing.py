@@ -31,7 +31,7 @@ GAP = 0.002
 #: Closes each document.
 END_ID = 1
 #: Pieces of one length class that are ranked by one task, about.
-RANKED = 50_000
+RANKED = 2_000
 _CACHED_WORDS = 500_000
 #: Fixed value: ASCII marks, neither letters nor digits.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -319,10 +319,11 @@ def pack(
     sizes, demand = np.array(histogram, np.int64).reshape(-1, 2).T
     runs = _slots(sizes, packing_plan(sizes, demand, SEQUENCE // WIDTH))
 
-    parts = max(1, int(demand.sum()) // RANKED)
-    pieces = pieces.withColumn(
-        "part", F.pmod(F.xxhash64("row", "start"), F.lit(parts)).cast("int")
-    )
+    # a class of many pieces has parts in proportion to them
+    parts = np.ones(SEQUENCE // WIDTH + 1, np.int64)
+    parts[sizes] = -(-demand // RANKED)
+    parts_of = F.element_at(F.lit(parts.tolist()), F.col("class") + 1)
+    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("row", "start"), parts_of))
     group = Window.partitionBy("class", "part").orderBy("row", "start")
     before = Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = pieces.groupBy("class", "part").agg(F.count(F.lit(1)).alias("n"))
