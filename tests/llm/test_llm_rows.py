@@ -226,7 +226,9 @@ def check_pieces(pieces, texts, encoder):
         assert at == len(ids)
 
 
-def test_packing_round_trip(spark):
+@pytest.mark.parametrize("ranked", [3, packing.RANKED])
+def test_packing_round_trip(spark, monkeypatch, ranked):
+    monkeypatch.setattr(packing, "RANKED", ranked)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     texts |= {10_000: "Ünïcode ΣΑΣ e\u0301 <|endoftext|> it's 12½ 🙂!?\u00a0x", 10_001: LONG}
