@@ -117,7 +117,8 @@ def distinct_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that ``exact_dedup`` keeps, with the columns they came with.
 
-    Rows are found again by id and digest. Of rows that have both in common, one stays.
+    Rows are found again by id and digest. Of rows that have both in common, one stays; these are
+    reduced to one within the tasks before the shuffle, as they may be very many.
     """
     stay = exact_dedup(docs, id_col, text_col, counters).where("kept")
     # a null within a struct equals another one
@@ -128,6 +129,5 @@ def distinct_documents(
         F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256).alias("digest"),
     )
     # rows of one id and digest are equal but for other columns
-    rank = F.row_number().over(Window.partitionBy("id", "digest").orderBy(F.xxhash64("row")))
-    rows = rows.join(stay, ["id", "digest"], "left_semi").withColumn("rank", rank)
-    return rows.where("rank = 1").select("row.*")
+    rows = rows.groupBy("id", "digest").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return rows.join(stay, ["id", "digest"], "left_semi").select("row.*")

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from conftest import plan, rows
 from llm_data import no_documents, odd_documents
 
 import corpus_pipeline
@@ -51,6 +52,20 @@ def test_exact_odd_rows(spark):
     assert exact.distinct_documents(no_documents(spark)).count() == 0
 
 
+def test_one_of_many_rows_with_one_id_and_text_stays(spark):
+    """Repeated rows are a third of all, differ in case or a further column, or have no id."""
+    data = [(i, f"text {i}", i) for i in range(200)]
+    data += [(7, "HOT" if i % 2 else "hot", i % 5) for i in range(100)]
+    data += [(None, None, i % 3) for i in range(50)] + [(None, "", 9)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, extra bigint")
+    first = rows(exact.distinct_documents(docs.repartition(7)))
+    assert first == rows(exact.distinct_documents(docs.repartition(3)))
+    ids = Counter(r[0] for r in first)
+    assert len(first) == 202 and set(first) <= set(data)
+    assert ids[7] == 2 and ids[None] == 1
+    assert "partial_min_by" in plan(exact.distinct_documents(docs))
+
+
 def test_frequent_digests_are_found(spark):
     data = [(i, str(i) if i % 3 else "hot") for i in range(3000)]
     docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(7)
