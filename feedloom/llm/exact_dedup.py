@@ -10,16 +10,33 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import ascii_lower, portions, stored, texts_of
+from feedloom.llm.common import portions, stored, texts_of
 
 #: A digest with more than 2 in so many of all rows is sure to be found frequent.
 COUNTERS = 1023
 
 
+def _sha256(texts: pa.Array) -> list[bytes]:
+    """Digests of the texts; ``bytes.lower()`` is for A-Z alone."""
+    return [hashlib.sha256(t.lower()).digest() for t in texts_of(texts)]
+
+
+def _digest_column(text: Column) -> Column:
+    """The digest of ``text_digests`` as a column."""
+
+    def digest(texts: pa.Array) -> pa.Array:
+        found: list[bytes] = []
+        for part in portions(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+            found += _sha256(part.column("text"))
+        return pa.array(found, pa.binary())
+
+    return F.arrow_udf(digest, T.BinaryType())(text.cast("string"))
+
+
 def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``row`` (a number of its own for each row) and ``digest`` of every text.
 
@@ -34,8 +51,7 @@ def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in portions(batch, "text"):
-                # bytes.lower() is for A-Z alone
-                found = [hashlib.sha256(t.lower()).digest() for t in texts_of(part.column("text"))]
+                found = _sha256(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("row"), pa.array(found, pa.binary())],
                     ["doc_id", "row", "digest"],
@@ -122,11 +138,11 @@ def distinct_documents(
     """
     stay = exact_dedup(docs, id_col, text_col, counters).where("kept")
     # a null within a struct equals another one
-    stay = stay.select(F.struct("doc_id").alias("id"), F.col("text_sha256").alias("digest"))
+    stay = stay.select(F.struct("doc_id").alias("id"), F.unhex("text_sha256").alias("digest"))
     rows = docs.select(
         F.struct(*docs.columns).alias("row"),
         F.struct(F.col(id_col).alias("doc_id")).alias("id"),
-        F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256).alias("digest"),
+        _digest_column(F.col(text_col)).alias("digest"),
     )
     # rows of one id and digest are equal but for other columns
     rows = rows.groupBy("id", "digest").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
