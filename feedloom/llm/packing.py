@@ -33,6 +33,8 @@ END_ID = 1
 #: Pieces of one length class that are ranked by one task, about.
 RANKED = 2_000
 _CACHED_WORDS = 500_000
+#: Bytes of text whose words and ids a task has in arrays at a time, about.
+_PORTION = 1 << 20
 #: Fixed value: ASCII marks, neither letters nor digits.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Characters below U+0250 without U+0130, which has two in lower case.
@@ -60,7 +62,7 @@ def token_pieces(
 
         words = _Words(Tokenizer.from_file(tokenizer))
         for batch in batches:
-            for part in portions(batch, "text"):
+            for part in portions(batch, "text", _PORTION):
                 ids, ends = words.ids_of(part.column("text"))
                 total = np.diff(ends, prepend=0)
                 pieces = -(-total // SEQUENCE)
