@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import portions, stored, texts_of
+from feedloom.llm.common import among, portions, stored, texts_of
 from feedloom.llm.simhash_dedup import _shingle_hashes
 
 SHINGLE = 5
@@ -218,8 +218,7 @@ def similar_links(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE)
     """
     docs = docs.where(F.col("node").isNotNull())
     shared = shared_bands(docs, shingle)
-    named = shared.select("node").distinct()
-    sets = stored(_of_texts(docs.join(named, "node", "left_semi"), "set", shingle, _sets), "sets")
+    sets = stored(_of_texts(among(docs, shared), "set", shingle, _sets), "sets")
     links = stored(_verified(candidates(shared), sets, least), "similar")
     if shared.where(F.col("n") > LIST).isEmpty():
         return links

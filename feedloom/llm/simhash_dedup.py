@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import portions, stored, texts_of
+from feedloom.llm.common import among, portions, stored, texts_of
 from feedloom.llm.graph import components
 
 SHINGLE = 3
@@ -183,7 +183,7 @@ def one_of_each(
     ids = named.select(F.col("node").alias("doc_id"), row_id.alias("id"))
     first = F.min(F.struct("id", F.col("doc_id").alias("node"))).alias("first")
     stay = found.join(ids, "doc_id").groupBy("component_id").agg(first).select("first.node")
-    stayed = numbered.join(stay, "node", "left_semi").select("row.*")
+    stayed = among(numbered, stay).select("row.*")
     return stayed.unionByName(numbered.where(row_id.isNull()).select("row.*"))
 
 

@@ -11,6 +11,7 @@ from conftest import plan, rows
 from llm_data import no_documents, odd_documents
 
 import corpus_pipeline
+from feedloom.llm import common
 from feedloom.llm import exact_dedup as exact
 from feedloom.llm import jaccard as similar
 from feedloom.llm import simhash_dedup as near
@@ -211,6 +212,46 @@ def test_a_large_group_of_similar_texts(spark):
     assert [r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()] == [0]
 
 
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_rows_among_nodes(spark, monkeypatch, most):
+    """Also nodes far apart, below 0 and repeated; with no word broadcast Spark joins as it likes."""
+    monkeypatch.setattr(common, "MARKS", most)
+    nodes = [0, 1, 63, 64, 127, 130, -1, -64, -65, 7 << 33, (7 << 33) + 1, 2**63 - 1, -(2**63)]
+    data = [(n, f"{i}") for i in range(2) for n in [*nodes, 2, 65, None]]
+    texts = spark.createDataFrame(data, "node bigint, text string")
+    wanted = [*nodes[::2], *nodes[::4], None, 1000]
+    found = common.among(texts, spark.createDataFrame([(n,) for n in wanted], "node bigint"))
+    assert found.columns == texts.columns
+    assert rows(found) == sorted(((n, t) for n, t in data if n in nodes[::2]), key=repr)
+    none = common.among(texts, spark.createDataFrame([], "node bigint"))
+    assert none.count() == 0
+
+
+def test_near_stage_shuffles_no_texts(spark, monkeypatch):
+    """Neither those whose sets are compared nor those that stay, also where nothing is small."""
+    plans = []
+
+    def seen(df, purpose, stored=similar.stored):
+        plans.extend([plan(df)] * (purpose == "sets"))
+        return stored(df, purpose)
+
+    monkeypatch.setattr(similar, "stored", seen)
+    data = [(i, " ".join(f"w{i % 7}x{j}" for j in range(20))) for i in range(30)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        stay = corpus_pipeline.near_stage(spark, docs, "")
+        plans.append(plan(stay))
+        assert {r["doc_id"] for r in stay.collect()} == set(range(7))
+    finally:
+        spark.conf.set(threshold, before)
+    assert len(plans) == 2
+    for found in plans:
+        assert "BroadcastHashJoin" in found and "Exchange hashpartitioning" not in found
+
+
 def templates(n, words_changed, seed):
     """Texts made from one by changing so many words in each."""
     rng = random.Random(seed)
