@@ -25,7 +25,8 @@ SMOOTHING = 0.1
 UNDETERMINED = "und"
 #: The only language where nothing was learned.
 UNNAMED = "any"
-_PORTION = 1 << 20
+#: Bytes of text whose n-grams a task has in arrays at a time, about.
+_PORTION = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -145,15 +146,23 @@ def _model(counts: pd.DataFrame) -> LanguageModel:
 
 
 def identify(
-    docs: DataFrame, model: LanguageModel, keep: Sequence[str], text_col: str = "text"
+    docs: DataFrame,
+    model: LanguageModel,
+    keep: Sequence[str],
+    text_col: str = "text",
+    within: str | None = None,
 ) -> DataFrame:
     """The columns ``keep`` of every row, with ``lang_pred`` and ``score``.
 
     The score is the probability of the language in the model. A text that is null or has no
     letter is ``und`` with score 0; so is every text if nothing was learned. Equally probable
-    languages: the first by code point. ``keep`` must not name the two new columns.
+    languages: the first by code point. ``keep`` must not name the two new columns. ``within``
+    names a struct of ``keep`` that has the text as its field ``text_col``; the texts are then
+    sent to the tasks once and not twice.
     """
-    rows = docs.select(*keep, F.col(text_col).alias("_text"))
+    rows = docs.select(*keep)
+    if within is None:
+        rows = docs.select(*keep, F.col(text_col).alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(
         (model.languages, model.log_likelihood, model.log_prior)
     )
@@ -163,6 +172,9 @@ def identify(
         languages, log_likelihood, log_prior = shared.value
         names = np.array([*languages, UNDETERMINED], object)
         for batch in batches:
+            if within is not None:
+                text = batch.column(within).field(text_col)
+                batch = pa.RecordBatch.from_arrays([*batch.columns, text], [*keep, "_text"])
             for part in portions(batch, "_text", _PORTION):
                 n = part.num_rows
                 best, chance = np.full(n, -1), np.zeros(n)
@@ -225,6 +237,9 @@ def determined(
     model = train(docs.where(fold.isin(0, 2)), text_col, lang_col, id_col, rows)
     if not model.languages:
         model = _model(pd.DataFrame({"lang": [UNNAMED], "bucket": [-1], "n": [1]}))
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
-    judged = identify(whole, model, ["row"])
+    row = F.struct(*docs.columns).alias("row")
+    if text_col in docs.columns:
+        judged = identify(docs.select(row), model, ["row"], text_col, within="row")
+    else:  # such as a field of a struct, or a name in another case
+        judged = identify(docs.select(row, F.col(text_col).alias("text")), model, ["row"])
     return judged.where(F.col("lang_pred") != UNDETERMINED).select("row.*")

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import no_documents, odd_documents
 from pyspark.sql import functions as F
@@ -60,6 +61,44 @@ def test_language_stage_keeps_texts_without_labels(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
 
 
+def test_language_stage_sends_each_text_once(spark):
+    docs = odd_documents(spark)
+    plan = language_id.determined(docs)._jdf.queryExecution().optimizedPlan()
+    sent = plan.toString().split("MapInArrow")[1]
+    # the struct of all columns is the one thing that is made for Python
+    assert re.findall(r"Project \[(.*) AS (\w+)#\d+\]", sent)[0][1] == "row"
+    assert "_text" not in sent
+    other = docs.withColumnRenamed("text", "Text")
+    kept = [language_id.determined(d, text_col="text").collect() for d in (docs, other)]
+    assert sorted(map(repr, kept[0])) == sorted(repr(r).replace("Text=", "text=") for r in kept[1])
+
+
+def test_stages_bound_batches_by_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame(
+        [(i, "word " * 200_000, "en", "web", 10**6) for i in range(24)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    ).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    before = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    try:
+        corpus_pipeline.language_stage(spark, docs, "")
+        found = [r["n"] for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert len(found) > 1 and max(found) < corpus_pipeline.BATCH_BYTES + 2_000_000
+        spark.conf.set(name, 123)
+        corpus_pipeline.pack_stage(spark, docs.limit(0), "")
+        assert spark.conf.get(name) == "123"  # one's own bound stays
+    finally:
+        spark.conf.unset(name)
+        if before is not None:
+            spark.conf.set(name, before)
+
+
 def auc(rows):
     p, y = np.array([r["score"] for r in rows]), np.array([r["toxic"] for r in rows])
     return (p[y == 1][:, None] > p[y == 0]).mean() + (p[y == 1][:, None] == p[y == 0]).mean() / 2
